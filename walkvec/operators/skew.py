@@ -34,8 +34,8 @@ def lookup(
     A key is hot if it has more than ``hot_rows`` rows and more than 1/1000 of
     all rows; so there are fewer than 1000 hot keys and their table rows can be
     broadcast. Hot rows take their values from that broadcast, and in the
-    shuffle join they carry a null key and a salt of ``spread``, which scatters
-    them. Every row appears exactly once, as in a plain join.
+    shuffle join they (and rows with a null key) carry a null key and a salt of
+    ``spread``, which scatters them. Every row appears exactly once, as in a plain join.
     """
     keys = list(keys)
     payload = [c for c in table.columns if c not in keys]
@@ -52,7 +52,10 @@ def lookup(
 
     renamed = [f"_k_{k}" for k in keys]
     cold_keys = [F.when(F.col("_is_hot").isNull(), F.col(k)).alias(r) for k, r in zip(keys, renamed)]
-    salt = F.when(F.col("_is_hot"), salt_of(spread, 1 << 20)).otherwise(F.lit(0))
+    unmatched = F.col("_is_hot").isNotNull()
+    for k in keys:
+        unmatched = unmatched | F.col(k).isNull()
+    salt = F.when(unmatched, salt_of(spread, 1 << 20)).otherwise(F.lit(0))
     marked = rows.join(F.broadcast(hot), keys, "left").select("*", *cold_keys, salt.alias("_salt"))
     table_side = found.select(
         *[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.lit(0).alias("_salt"), "_cold"

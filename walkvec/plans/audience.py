@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from walkvec.config import Config
-from walkvec.operators import graph, interactions, segments, walks
+from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, walks
 from walkvec.stage import stage
 
 
@@ -59,3 +60,89 @@ def build_walks(trans: DataFrame, cfg: Config, **options) -> DataFrame:
         keep_sentinel=options.get("keep_sentinel", False),
         stage_every=cfg.stage_every,
     )
+
+
+def node_vectors(node_walks: DataFrame, cfg: Config, estimator: bool = True) -> DataFrame:
+    """Vectors (seg_id, node_id, vector) from walks, all segments in one model.
+
+    Words are "segment|node"; walks never leave a segment. ``estimator`` uses
+    Spark's Word2Vec, which refuses a vocabulary too large for the driver;
+    otherwise the parameters are trained as a distributed table.
+    """
+    word = F.transform("nodes", lambda n: F.concat_ws("|", "seg_id", n))
+    sentences = node_walks.select(F.col("walk_id").alias("seq_id"), word.alias("tokens"))
+    sentences = sequences.long_enough(sentences)
+    if estimator:
+        words = train.estimator_word_vectors(
+            sentences,
+            cfg.vector_size,
+            cfg.window,
+            cfg.learning_rate,
+            cfg.iterations,
+            cfg.min_count,
+            cfg.max_sentence_length,
+            cfg.seed,
+        )
+    else:
+        sentences = stage(sentences, "sentences")
+        ranks = sequences.token_ranks(sequences.array_positions(sentences), cfg.min_count)
+        uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
+        pairs = sequences.pairs_from_arrays(sentences, cfg.window)
+        words = train.trained_word_vectors(
+            pairs.select(uid.alias("uid"), "center", "context"),
+            stage(ranks, "ranks"),
+            train.Training(
+                size=cfg.vector_size,
+                learning_rate=cfg.learning_rate,
+                epochs=cfg.iterations,
+                seed=cfg.seed,
+            ),
+        )
+    parts = F.split("token", "[|]")
+    return words.select(
+        F.get(parts, 0).cast("int").alias("seg_id"),
+        F.get(parts, 1).cast("bigint").alias("node_id"),
+        "vector",
+    )
+
+
+def member_vectors(origin: Origin, cfg: Config, estimator: bool = True) -> DataFrame:
+    """Records to graph, walks, vectors and names: (seg_id, member_id, vector)."""
+    trans = build_transitions(node_records(origin, cfg), cfg)
+    vectors = node_vectors(build_walks(trans, cfg), cfg, estimator)
+    return embed.name_vectors(vectors, origin.nodes)
+
+
+def expand_audience(named: DataFrame, cfg: Config, exact: bool = True) -> DataFrame:
+    """Rows of the result table: each member's nearest members of its segment."""
+    vectors = stage(named.withColumnRenamed("member_id", "id"), "vectors")
+    if exact:
+        pairs = similar.similar_topk(vectors, cfg.neighbours_out)
+    else:
+        pairs = similar.similar_ann(
+            vectors, cfg.vector_size, cfg.neighbours_out, cfg.lsh_tables, cfg.lsh_hashes_per_table
+        )
+    return similar.result_rows(similar.scored(pairs))
+
+
+@dataclass(frozen=True)
+class SideFit:
+    examples: DataFrame
+    ranks: DataFrame
+    initial: DataFrame
+    params: DataFrame
+
+
+def train_side_vectors(
+    tokens: DataFrame, encoded: DataFrame, window: int, t: train.Training
+) -> SideFit:
+    """Train item side vectors on the pairs of token sequences."""
+    pairs = sequences.skipgram_pairs(tokens, window)
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
+    ranks = stage(sequences.token_ranks(tokens), "ranks")
+    references = train.side_references(encoded)
+    examples = train.prepare_examples(
+        pairs.select(uid.alias("uid"), "center", "context"), references, ranks, t
+    )
+    initial = train.initial_parameters(references, ranks, t)
+    return SideFit(examples, ranks, initial, train.train(examples, ranks, initial, t))

@@ -8,8 +8,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkvec.operators import graph, interactions, segments, walks
+from walkvec.functions import scalar, sql_functions
+from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, vocab, walks
 from walkvec.plans import audience, inputs
+from walkvec.sources import readers, writers
+from walkvec.stage import stage, stage_path
 
 CFG = replace(inputs.CONFIG, walks_per_node=2)
 
@@ -179,3 +182,433 @@ def walks_single(spark, d):
 def visit_histogram(spark, d):
     trans = _transitions(spark, d)
     return walks.visit_histogram(audience.build_walks(trans, CFG, strategy="greedy"))
+
+
+# --- sequences --------------------------------------------------------------
+
+
+def _tokens(spark, d):
+    return stage(sequences.positions(inputs.purchase_rows(spark, d), inputs.PURCHASE_ORDER), "tokens")
+
+
+def _greedy_walks(spark, d):
+    return audience.build_walks(_transitions(spark, d), CFG, strategy="greedy")
+
+
+@query
+def purchase_sequences(spark, d):
+    return sequences.positions(inputs.purchase_rows(spark, d), inputs.PURCHASE_ORDER)
+
+
+@query
+def skipgram_pairs(spark, d):
+    return sequences.skipgram_pairs(_tokens(spark, d), CFG.window)
+
+
+@query
+def cbow_rows(spark, d):
+    rows = sequences.cbow_rows(_tokens(spark, d), 3)
+    return rows.withColumn("context", F.array_join("context", ",", "-"))
+
+
+@query
+def walk_pairs(spark, d):
+    rows = _greedy_walks(spark, d).select(
+        F.col("walk_id").alias("seq_id"), F.col("nodes").alias("tokens")
+    )
+    return sequences.pairs_from_arrays(sequences.long_enough(rows), CFG.window)
+
+
+@query
+def token_ranks(spark, d):
+    return sequences.token_ranks(_tokens(spark, d))
+
+
+@query
+def negatives(spark, d):
+    tokens = _tokens(spark, d)
+    size = sequences.token_ranks(tokens).agg(F.count("*")).scalar()
+    pairs = sequences.skipgram_pairs(tokens, 1)
+    key = ["seq_id", "center_pos", "context_pos"]
+    return sequences.negatives(pairs, key, size, 5, CFG.seed)
+
+
+# --- side information -------------------------------------------------------
+
+
+def _known_items(spark, d):
+    """Parts that some member selected."""
+    chosen = selected_records(spark, d).select(F.col("item_id").alias("gds")).distinct()
+    return stage(inputs.side_information(spark, d).join(chosen, "gds", "left_semi"), "items")
+
+
+def _vocabulary(items):
+    return stage(vocab.build_vocabulary(items), "vocabulary")
+
+
+def _published_codes(encoded):
+    return encoded.withColumn("sal_idx", F.array_join("sal_idx", "|"))
+
+
+@query
+def side_vocab(spark, d):
+    return vocab.build_vocabulary(inputs.side_information(spark, d))
+
+
+@query
+def side_cardinality(spark, d):
+    return vocab.cardinalities(vocab.build_vocabulary(inputs.side_information(spark, d)))
+
+
+@query
+def side_encode(spark, d):
+    items = inputs.side_information(spark, d)
+    return _published_codes(vocab.encode(items, _vocabulary(items)))
+
+
+@query
+def side_encode_rejects(spark, d):
+    known = _known_items(spark, d)
+    rejects = vocab.encode_rejects(inputs.side_information(spark, d), _vocabulary(known))
+    return _published_codes(rejects)
+
+
+def _cold(spark, d, known, vocabulary, **options):
+    count = known.agg(F.count("*")).scalar()
+    return vocab.encode_cold(inputs.side_information(spark, d), vocabulary, count, **options)
+
+
+@query
+def side_encode_cold(spark, d):
+    known = _known_items(spark, d)
+    return _published_codes(_cold(spark, d, known, _vocabulary(known)))
+
+
+@query
+def side_encode_cold_index0(spark, d):
+    known = _known_items(spark, d)
+    return _published_codes(_cold(spark, d, known, _vocabulary(known), index0_is_oov=True))
+
+
+@query
+def vocabulary_size(spark, d):
+    return readers.vocabulary_size(inputs.side_information(spark, d))
+
+
+def _encoded(spark, d):
+    items = inputs.side_information(spark, d)
+    return stage(vocab.encode(items, _vocabulary(items)), "encoded")
+
+
+@query
+def pairs_with_side(spark, d):
+    pairs = sequences.skipgram_pairs(_tokens(spark, d), 2)
+    return _published_codes(sequences.attach_side(pairs, _encoded(spark, d)))
+
+
+@query
+def shuffle_batches(spark, d):
+    pairs = sequences.skipgram_pairs(_tokens(spark, d), 1)
+    key = ["seq_id", "center_pos", "context_pos"]
+    return sequences.batches(sequences.shuffled(pairs, key, CFG.seed), 100, epochs=2)
+
+
+@query
+def training_batches(spark, d):
+    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), 1, 100)
+    return _published_codes(rows)
+
+
+@query
+def evaluation_batches(spark, d):
+    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), 1, 100, seed=None)
+    return _published_codes(rows)
+
+
+# --- item vectors -----------------------------------------------------------
+
+SIZE = 16
+
+
+def _components(vectors, *keys):
+    """One row per component, rounded."""
+    return vectors.select(*keys, F.posexplode(scalar.round_vector("vector")).alias("dim", "value"))
+
+
+def _tables(vocabulary, items):
+    return stage(embed.initial_tables(vocabulary, items.select("node"), SIZE, CFG.seed), "tables")
+
+
+def _attention(spark, d):
+    items = inputs.side_information(spark, d)
+    vocabulary = _vocabulary(items)
+    return embed.attention_embed(vocab.encode(items, vocabulary), _tables(vocabulary, items), SIZE)
+
+
+def _mean(spark, d):
+    known = _known_items(spark, d)
+    vocabulary = _vocabulary(known)
+    cold = _cold(spark, d, known, vocabulary)
+    return embed.mean_embed(cold, _tables(vocabulary, known), SIZE)
+
+
+@query
+def attention_embed(spark, d):
+    return _components(_attention(spark, d), "item_key")
+
+
+@query
+def coldstart_embed(spark, d):
+    return _components(_mean(spark, d), "item_key")
+
+
+@query
+def attention_export(spark, d):
+    return _components(embed.export_items(_attention(spark, d)), "item_key")
+
+
+@query
+def coldstart_export(spark, d):
+    return _components(embed.export_items(_mean(spark, d)), "item_key")
+
+
+@query
+def normalize_vectors(spark, d):
+    rows = inputs.vectors(spark, d)
+    # Scaled by the label first, so that there is something to normalise.
+    scaled = F.transform("vector", lambda x: x.cast("double") * F.col("seg_id"))
+    return _components(embed.normalised(rows.withColumn("vector", scaled)), "id")
+
+
+# --- similarity -------------------------------------------------------------
+
+VECTOR_SIZE = 64
+
+
+def _pairs_out(rows, *keys):
+    return rows.select(*keys, "user1", "user2", F.round("distance", 6).alias("distance"))
+
+
+def _one_segment(spark, d):
+    return inputs.vectors(spark, d).withColumn("seg_id", F.lit(0))
+
+
+@query
+def similar_topk(spark, d):
+    return _pairs_out(similar.similar_topk(inputs.vectors(spark, d), 10), "seg_id")
+
+
+def _lsh(spark, d):
+    return similar.similar_pairs(_one_segment(spark, d), VECTOR_SIZE, CFG.lsh_threshold)
+
+
+@query
+def similar_lsh(spark, d):
+    return _pairs_out(_lsh(spark, d))
+
+
+@query
+def similar_ann(spark, d):
+    return _pairs_out(similar.similar_ann(inputs.vectors(spark, d), VECTOR_SIZE, 10), "seg_id")
+
+
+@query
+def nearest_to_key(spark, d):
+    key = [1.0 / 8.0] * VECTOR_SIZE
+    rows = similar.nearest_to(inputs.vectors(spark, d), key, 10)
+    return rows.withColumn("distance", F.round("distance", 6))
+
+
+@query
+def similar_minhash(spark, d):
+    sets = _cleaned(spark, d).select(F.col("member_id").alias("id"), F.col("item_id").alias("element"))
+    rows = similar.similar_sets(stage(sets, "sets"), 0.95, tables=10)
+    return _pairs_out(rows)
+
+
+def _scored(spark, d):
+    return similar.scored(_lsh(spark, d)).withColumn("score", F.round("score", 6))
+
+
+@query
+def result_table(spark, d):
+    return similar.result_rows(_scored(spark, d))
+
+
+@query
+def cosine_scores(spark, d):
+    rows = _lsh(spark, d)
+    cosine = F.round(scalar.cosine_from_distance(F.col("distance")), 6)
+    return rows.select("user1", "user2", cosine.alias("score"))
+
+
+# --- functions --------------------------------------------------------------
+
+
+@query
+def md5_functions(spark, d):
+    name = F.col("c_name")
+    return inputs.table(spark, d, "customer").select(
+        "c_custkey", scalar.md5_hex(name).alias("md5"), scalar.md5_hex16(name).alias("md5_16")
+    )
+
+
+@query
+def date_functions(spark, d):
+    day = F.col("o_orderdate")
+    key = F.date_format(day, "yyyyMMdd")
+    return inputs.table(spark, d, "orders").select(
+        "o_orderkey",
+        key.alias("date_key"),
+        scalar.date_key_diff(F.lit("19950615"), key).alias("days"),
+        scalar.date_key_add(key, 40).alias("later"),
+        scalar.next_sunday(day).alias("week_end"),
+    )
+
+
+@query
+def minute_functions(spark, d):
+    return inputs.table(spark, d, "events").select(
+        "event_id",
+        scalar.minute_of_day(F.col("ts")).alias("minute"),
+        scalar.minute_of_day(F.col("ts"), hour12=True).alias("minute12"),
+    )
+
+
+@query
+def sql_function_scores(spark, d):
+    sql_functions.register_sql_functions(spark)
+    view = "walkvec_pairs"
+    writers.register_view(_pairs_out(_lsh(spark, d)), view)
+    return spark.sql(
+        f"""SELECT user1, user2, round(getScore(distance), 6) AS score,
+                   md5Handle(CAST(user1 AS STRING)) AS user1_md5, tpId() AS tp, eMode() AS emode
+            FROM {view} WHERE user1 <> user2"""
+    )
+
+
+# --- files: written by Spark from the tables, then read back ----------------
+
+
+@query
+def interaction_log_scan(spark, d):
+    path = stage_path(spark, "log")
+    line = F.concat_ws(" ", F.concat(F.lit('"'), "member_id", F.lit('"')), "item_id", "rating", "vip")
+    inputs.interactions(spark, d).select(line.alias("value")).write.text(path)
+    return interactions.clean(readers.read_interaction_log(spark, path), CFG.rating_min)
+
+
+@query
+def selected_records_files(spark, d):
+    path = stage_path(spark, "records")
+    writers.write_selected_records(selected_records(spark, d), path)
+    return readers.read_selected_records(spark, path)
+
+
+@query
+def node_index_files(spark, d):
+    path = stage_path(spark, "nodes")
+    writers.write_node_index(node_index(spark, d), path)
+    return readers.read_node_index(spark, path)
+
+
+@query
+def walk_files(spark, d):
+    path = stage_path(spark, "walks")
+    writers.write_walks(_greedy_walks(spark, d), path)
+    rows = readers.read_walks(spark, path)
+    return rows.select("seg_id", F.array_join("nodes", " ").alias("nodes"))
+
+
+@query
+def sequence_files(spark, d):
+    path = stage_path(spark, "walks")
+    writers.write_walks(_greedy_walks(spark, d), path)
+    rows = readers.read_sequences(spark, path)
+    return rows.select(F.array_join("tokens", " ").alias("tokens"))
+
+
+@query
+def edge_list_files(spark, d):
+    path = stage_path(spark, "edges")
+    edges = graph.member_edges(_records(spark, d)).where("seg_id = 3")
+    line = F.concat_ws(" ", "lo", "hi", graph.published_weight())
+    edges.select(line.alias("value")).write.text(path)
+    directed = graph.edges_from_list(readers.read_edge_list(spark, path), seg_id=3)
+    return directed.select("seg_id", "src", "dst", graph.published_weight().alias("weight"))
+
+
+@query
+def side_information_files(spark, d):
+    path = stage_path(spark, "side")
+    columns = ["node", *vocab.SINGLE, F.array_join(vocab.MULTI, "|")]
+    inputs.side_information(spark, d).select(F.concat_ws(" ", *columns).alias("value")).write.text(path)
+    rows = readers.read_side_information(spark, path)
+    return rows.withColumn("sal", F.array_join("sal", "|"))
+
+
+@query
+def recommendation_files(spark, d):
+    root = stage_path(spark, "rec")
+    rows = similar.scored(similar.similar_topk(inputs.vectors(spark, d), 5))
+    line = F.concat_ws("\t", "user1", "user2", F.round("score", 6))
+    # The first folder must exist, later ones may be absent.
+    rows.select(line.alias("value"), F.col("seg_id").alias("rec")).write.partitionBy("rec").text(root)
+    paths = [f"{root}/rec={i}" for i in range(16)]
+    return similar.result_rows(readers.read_recommendations(spark, paths[0], paths[1:]))
+
+
+@query
+def embedding_files(spark, d):
+    path = stage_path(spark, "embeddings")
+    named = embed.normalised(inputs.vectors(spark, d)).withColumn("member_id", F.col("id").cast("string"))
+    writers.write_embeddings(named, path)
+    rows = readers.read_embeddings(spark, path)
+    return _components(rows, "seg_id", "member_id")
+
+
+# --- training (no SQL equivalent) -------------------------------------------
+
+
+def _origin(spark, d):
+    return audience.process_origin(inputs.interactions(spark, d), inputs.member_base(spark, d), CFG)
+
+
+@query
+def member_vectors(spark, d):
+    """The whole job up to named member vectors, with Spark's own estimator."""
+    return audience.member_vectors(_origin(spark, d), replace(CFG, vector_size=32))
+
+
+@query
+def member_vectors_distributed(spark, d):
+    """The same with the parameters in a distributed table."""
+    cfg = replace(CFG, vector_size=16, iterations=1, window=2)
+    return audience.member_vectors(_origin(spark, d), cfg, estimator=False)
+
+
+TRAINING = train.Training(size=SIZE, epochs=1, batch=100, learning_rate=1.0)
+
+
+def _side_training(spark, d):
+    tokens = _tokens(spark, d)
+    encoded = _encoded(spark, d)
+    return audience.train_side_vectors(tokens, encoded, 1, TRAINING)
+
+
+@query
+def side_training(spark, d):
+    """Mean loss before and after training."""
+    fit = _side_training(spark, d)
+    before = train.evaluate(fit.examples, fit.ranks, fit.initial, TRAINING)
+    after = train.evaluate(fit.examples, fit.ranks, fit.params, TRAINING)
+    named = [r.withColumn("stage", F.lit(n)) for r, n in ((before, "before"), (after, "after"))]
+    return named[0].unionByName(named[1])
+
+
+@query
+def side_vectors(spark, d):
+    """Trained item vectors."""
+    fit = _side_training(spark, d)
+    tables = train.parameter_tables(fit.params)
+    return embed.export_items(embed.attention_embed(_encoded(spark, d), tables, SIZE))
