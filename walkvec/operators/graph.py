@@ -125,10 +125,12 @@ def adjacency(trans: DataFrame, order: str = "units") -> DataFrame:
     )
 
 
-def edges_from_list(edge_list: DataFrame, seg_id: int = 0) -> DataFrame:
-    """Directed edges from (src, dst, weight) rows, each added in both directions."""
-    units = F.round(F.col("weight") * WEIGHT_UNIT).cast("bigint")
-    rows = edge_list.select(
-        F.lit(seg_id).alias("seg_id"), F.col("src").alias("lo"), F.col("dst").alias("hi"), units.alias("units")
-    )
-    return both_directions(rows)
+def edges_from_list(edge_list: DataFrame) -> DataFrame:
+    """Directed edges from (src, dst, weight) rows, each added in both directions.
+
+    Without a ``seg_id`` column all of them belong to segment 0.
+    """
+    seg_id = F.col("seg_id") if "seg_id" in edge_list.columns else F.lit(0).alias("seg_id")
+    units = F.round(F.col("weight") * WEIGHT_UNIT).cast("bigint").alias("units")
+    ends = F.col("src").alias("lo"), F.col("dst").alias("hi")
+    return both_directions(edge_list.select(seg_id, *ends, units))

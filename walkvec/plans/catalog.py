@@ -531,10 +531,10 @@ def sequence_files(spark, d):
 @query
 def edge_list_files(spark, d):
     path = stage_path(spark, "edges")
-    edges = graph.member_edges(_records(spark, d)).where("seg_id = 3")
-    line = F.concat_ws(" ", "lo", "hi", graph.published_weight())
-    edges.select(line.alias("value")).write.text(path)
-    directed = graph.edges_from_list(readers.read_edge_list(spark, path), seg_id=3)
+    line = F.concat_ws(" ", "lo", "hi", graph.published_weight()).alias("value")
+    edges = graph.member_edges(_records(spark, d)).select("seg_id", line)
+    edges.write.partitionBy("seg_id").text(path)
+    directed = graph.edges_from_list(readers.read_edge_list(spark, path))
     return directed.select("seg_id", "src", "dst", graph.published_weight().alias("weight"))
 
 

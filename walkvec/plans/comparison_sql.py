@@ -64,10 +64,12 @@ def _uniform(key: str) -> str:
     return f"(('0x' || substr(md5({key}), 1, 13))::BIGINT / 4503599627370496.0)"
 
 
-def _with(last: str, body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
+def _with(
+    last: str | None, body: str, extra: dict[str, str] | None = None, recursive: bool = False
+) -> str:
     """``body`` after all steps up to ``last`` and the extra ones."""
     names = list(_STEPS)
-    steps = {k: _STEPS[k] for k in names[: names.index(last) + 1]} | (extra or {})
+    steps = {k: _STEPS[k] for k in (names[: names.index(last) + 1] if last else [])} | (extra or {})
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(f"{k} AS ({v})" for k, v in steps.items()) + "\n" + body
 
@@ -170,4 +172,342 @@ def statements() -> dict[str, str]:
         extra,
         recursive=True,
     )
+    out |= _sequence_statements()
+    out |= _side_statements()
+    out |= _similarity_statements()
+    out |= _function_statements()
+    out |= _file_statements(out)
     return out
+
+
+_TOKENS = """
+    SELECT o_custkey AS seq_id, l_partkey AS token,
+           row_number() OVER (PARTITION BY o_custkey
+                              ORDER BY o_orderdate, l_orderkey, l_linenumber, l_partkey) - 1 AS pos
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+def _pairs(window: int, tokens: str = "tokens") -> str:
+    return f"""
+        SELECT a.seq_id, a.pos AS center_pos, b.pos AS context_pos,
+               a.token AS center, b.token AS context
+        FROM {tokens} a JOIN {tokens} b
+          ON a.seq_id = b.seq_id AND b.pos BETWEEN a.pos - {window} AND a.pos + {window}
+             AND a.pos <> b.pos"""
+
+
+_PAIR_KEY = "seq_id || '|' || center_pos || '|' || context_pos"
+_RANKS = """
+    SELECT token, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS rank
+    FROM tokens GROUP BY token"""
+
+
+def _batched(source: str, order: str, epochs: int) -> dict[str, str]:
+    return {
+        "indexed": f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS idx FROM {source}",
+        "total": "SELECT count(*) AS n FROM indexed",
+        "placed": f"""
+            SELECT indexed.*, epoch, (epoch * n + idx) // 100 AS batch_id, n
+            FROM indexed, total, range(0, {epochs}) e(epoch)""",
+        "batched": f"SELECT * EXCLUDE (n) FROM placed WHERE batch_id < (n * {epochs}) // 100",
+    }
+
+
+def _sequence_statements() -> dict[str, str]:
+    out: dict[str, str] = {}
+    tokens = {"tokens": _TOKENS}
+    out["purchase_sequences"] = _with(None, "SELECT seq_id, pos, token FROM tokens", tokens)
+    out["skipgram_pairs"] = _with(None, _pairs(5), tokens)
+    out["cbow_rows"] = _with(
+        None,
+        """SELECT seq_id, center_pos AS pos, center,
+                  string_agg(CAST(context AS VARCHAR), ',' ORDER BY context_pos)
+                  || repeat(',-', 6 - CAST(count(*) AS INTEGER)) AS context
+           FROM pairs GROUP BY 1, 2, 3""",
+        tokens | {"pairs": _pairs(3)},
+    )
+    extra, body = _walks("greedy", 10, 2)
+    extra["walked"] = f"""
+        SELECT walk_id AS seq_id, unnest(range(len(string_split(nodes, ' ')))) AS pos,
+               CAST(unnest(string_split(nodes, ' ')) AS BIGINT) AS token FROM ({body})"""
+    out["walk_pairs"] = _with("strongest", _pairs(5, "walked"), extra, recursive=True)
+    out["token_ranks"] = _with(None, _RANKS, tokens)
+    u = _uniform(f"'42|' || {_PAIR_KEY} || '|' || draw")
+    out["negatives"] = _with(
+        None,
+        f"""SELECT pairs.*, draw,
+                   least(CAST(floor(exp({u} * ln(size + 1))) AS BIGINT) - 1, size - 1) AS negative
+            FROM pairs, range(1, 6) r(draw), (SELECT count(DISTINCT token) AS size FROM tokens)""",
+        tokens | {"pairs": _pairs(1)},
+    )
+    shuffle = f"md5('42|' || {_PAIR_KEY}), seq_id, center_pos, context_pos"
+    out["shuffle_batches"] = _with(
+        None, "SELECT * FROM batched", tokens | {"pairs": _pairs(1)} | _batched("pairs", shuffle, 2)
+    )
+    codes = tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(1)}
+    sided = "SELECT pairs.*, coded.* EXCLUDE (node) FROM pairs JOIN coded ON node = center"
+    out["training_batches"] = _with(
+        None, "SELECT * FROM batched", codes | {"sided": sided} | _batched("sided", shuffle, 1)
+    )
+    in_order = "seq_id, center_pos, context_pos"
+    out["evaluation_batches"] = _with(
+        None, "SELECT * FROM batched", codes | {"sided": sided} | _batched("sided", in_order, 1)
+    )
+    out["pairs_with_side"] = _with(
+        None, sided, tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(2)}
+    )
+    return out
+
+
+_ITEMS = """
+    SELECT p_partkey AS node, CAST(p_partkey AS VARCHAR) AS gds, replace(p_name, ' ', '_') AS gen_gds,
+           CAST(p_size AS VARCHAR) AS l4, replace(p_type, ' ', '_') AS l3,
+           substr(p_type, 1, 1) AS l2, p_brand AS big_brand, CAST(p_partkey % 10 AS VARCHAR) AS shop,
+           string_split(p_name, ' ') AS sal
+    FROM part"""
+_SINGLE = ("gds", "gen_gds", "l4", "l3", "l2", "big_brand", "shop")
+_SLOTS = ("gds", "gen_gds", "shop", "l4", "l3", "l2", "big_brand", "sal")
+
+
+def _values(items: str) -> str:
+    single = [f"SELECT node, '{f}' AS feature, 0 AS ord, {f} AS value FROM {items}" for f in _SINGLE]
+    multi = f"""SELECT node, 'sal', unnest(range(len(sal))), unnest(sal) FROM {items}"""
+    return " UNION ALL ".join([*single, multi])
+
+
+def _encoding(known: str = "items") -> dict[str, str]:
+    """Vocabulary of the ``known`` items and the encoding of all items with it."""
+    return {
+        "items": _ITEMS,
+        "known": "SELECT * FROM items" + (
+            "" if known == "items" else " WHERE gds IN (SELECT item_id FROM selected)"
+        ),
+        "known_values": _values("known"),
+        "vocab": """
+            SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS idx
+            FROM (SELECT DISTINCT feature, value FROM known_values)""",
+        "all_values": _values("items"),
+        "usable": "SELECT * FROM vocab",
+        "pivoted": "SELECT node, gds || '_' || shop AS item_key, "
+        + ", ".join(f"max(idx) FILTER (WHERE feature = '{f}') AS {f}_idx" for f in _SINGLE)
+        + """,
+               coalesce(string_agg(CAST(idx AS VARCHAR), '|' ORDER BY ord)
+                        FILTER (WHERE feature = 'sal' AND idx IS NOT NULL), '') AS sal_idx,
+               count(*) FILTER (WHERE feature = 'sal' AND idx IS NULL) AS unknown_sal
+            FROM all_values LEFT JOIN usable USING (feature, value) JOIN items USING (node)
+            GROUP BY ALL""",
+    }
+
+
+_ALL_KNOWN = " AND ".join(f"{f}_idx IS NOT NULL" for f in _SINGLE) + " AND unknown_sal = 0"
+_CODED = f"SELECT * EXCLUDE (unknown_sal) FROM pivoted WHERE {_ALL_KNOWN}"
+_ADMITTED = " AND ".join(
+    f"{f}_idx IS NOT NULL" for f in _SINGLE if f not in ("gds", "gen_gds")
+) + " AND sal_idx <> ''"
+_COLD = f"""
+    SELECT CASE WHEN node < (SELECT count(*) FROM known) THEN node END AS node,
+           * EXCLUDE (node, unknown_sal)
+    FROM pivoted WHERE {_ADMITTED}"""
+
+
+def _embedding(coded: str, weights: str) -> dict[str, str]:
+    """Weighted sums of hash-initialised vectors of 16 components."""
+    u = _uniform("'42|' || tbl || '|' || row_id || '|' || i")
+    logit = _uniform("'42|attention|' || node || '|' || s")
+    slots = [
+        f"SELECT item_key, node, {_SLOTS.index(f)} AS slot, '{f}' AS tbl, {f}_idx AS row_id, 1.0 AS part "
+        f"FROM coded WHERE {f}_idx IS NOT NULL"
+        for f in _SINGLE
+    ]
+    slots.append(
+        """SELECT item_key, node, 7, 'sal', CAST(unnest(string_split(sal_idx, '|')) AS BIGINT),
+                  1.0 / len(string_split(sal_idx, '|')) FROM coded"""
+    )
+    weight = {
+        "attention": f"""
+            SELECT item_key, node, s AS slot, exp({logit} * 2 - 1) AS w
+            FROM coded, range(0, 8) r(s)""",
+        "mean": """
+            SELECT item_key, node, s AS slot, 1.0 AS w FROM coded, range(0, 8) r(s)
+            WHERE NOT (s = 0 AND gds_idx IS NULL) AND NOT (s = 1 AND gen_gds_idx IS NULL)""",
+    }[weights]
+    return {
+        "coded": coded,
+        "slots": " UNION ALL ".join(slots),
+        "raw": weight,
+        "weights": "SELECT item_key, slot, w / sum(w) OVER (PARTITION BY item_key) AS w FROM raw",
+        "used": "SELECT DISTINCT tbl, row_id FROM slots",
+        "params": f"SELECT tbl, row_id, i, {u} * 2 - 1 AS x FROM used, range(0, 16) r(i)",
+        "embedded": """
+            SELECT item_key, i AS dim, sum(x * w * part) AS value
+            FROM slots JOIN weights USING (item_key, slot) JOIN params USING (tbl, row_id)
+            GROUP BY 1, 2""",
+        "unit": """
+            SELECT item_key, dim,
+                   value / sqrt(sum(value * value) OVER (PARTITION BY item_key)) AS value
+            FROM embedded""",
+    }
+
+
+def _side_statements() -> dict[str, str]:
+    out: dict[str, str] = {}
+    whole, chosen = _encoding(), _encoding("selected")
+    out["side_vocab"] = _with(None, "SELECT feature, value, idx FROM vocab", whole)
+    out["side_cardinality"] = _with(
+        None, "SELECT feature, count(*) AS size FROM vocab GROUP BY feature", whole
+    )
+    out["vocabulary_size"] = "SELECT count(DISTINCT p_partkey) AS vocab_size FROM part"
+    out["side_encode"] = _with(None, _CODED, whole)
+    out["side_encode_rejects"] = _with(
+        "selected",
+        f"SELECT * EXCLUDE (unknown_sal) FROM pivoted WHERE NOT ({_ALL_KNOWN})",
+        chosen,
+    )
+    out["side_encode_cold"] = _with("selected", _COLD, chosen)
+    out["side_encode_cold_index0"] = _with(
+        "selected", _COLD, chosen | {"usable": "SELECT * FROM vocab WHERE idx > 0"}
+    )
+    rounded = "SELECT item_key, dim, round(value, 6) AS value FROM "
+    attention = whole | _embedding(_CODED, "attention")
+    mean = chosen | _embedding(_COLD, "mean")
+    out["attention_embed"] = _with(None, rounded + "embedded", attention)
+    out["attention_export"] = _with(None, rounded + "unit", attention)
+    out["coldstart_embed"] = _with("selected", rounded + "embedded", mean)
+    out["coldstart_export"] = _with("selected", rounded + "unit", mean)
+    return out
+
+
+_UNIT_VECTORS = """
+    SELECT id, label, dim, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS value
+    FROM (SELECT vec_id AS id, label, unnest(range(len(embedding))) AS dim,
+                 CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"""
+_VECTORS = "SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
+_SIGN = _uniform("'123|' || h || '|' || i")
+_BUCKETS = {
+    "vecs": _VECTORS,
+    "signs": f"""
+        SELECT h, i, CASE WHEN {_SIGN} < 0.5 THEN -1 ELSE 1 END / 8.0 AS s
+        FROM range(0, 40) a(h), range(0, 64) b(i)""",
+    "parts": "SELECT id, unnest(range(64)) AS i, unnest(v) AS x FROM vecs",
+    "cuts": """
+        SELECT id, h, CAST(floor(sum(x * s) / 0.5) AS BIGINT) + 500 AS cut
+        FROM parts JOIN signs USING (i) GROUP BY 1, 2""",
+    "buckets": """
+        SELECT id, h // 4 AS tbl, string_agg(CAST(cut AS VARCHAR), ',' ORDER BY h) AS bucket
+        FROM cuts GROUP BY 1, 2""",
+}
+
+
+def _met(extra_condition: str = "") -> str:
+    return f"""
+        SELECT DISTINCT a.id AS user1, b.id AS user2, va.label AS seg_id,
+               list_distance(va.v, vb.v) AS distance
+        FROM buckets a JOIN buckets b ON a.tbl = b.tbl AND a.bucket = b.bucket AND a.id <> b.id
+        JOIN vecs va ON va.id = a.id JOIN vecs vb ON vb.id = b.id {extra_condition}"""
+
+
+def _similarity_statements() -> dict[str, str]:
+    out: dict[str, str] = {}
+    out["normalize_vectors"] = f"""
+        SELECT id, dim, round(value, 6) AS value FROM ({_UNIT_VECTORS}) WHERE label <> 0"""
+    exact = """
+        SELECT a.label AS seg_id, a.id AS user1, b.id AS user2, list_distance(a.v, b.v) AS distance
+        FROM vecs a JOIN vecs b ON a.label = b.label AND a.id <> b.id"""
+    ranked = "SELECT *, row_number() OVER (PARTITION BY user1 ORDER BY distance, user2) AS rn FROM met"
+    nearest = "SELECT seg_id, user1, user2, round(distance, 6) AS distance FROM near WHERE rn <= {k}"
+    out["similar_topk"] = _with(
+        None, nearest.format(k=10), {"vecs": _VECTORS, "met": exact, "near": ranked}
+    )
+    out["similar_ann"] = _with(
+        None, nearest.format(k=10), _BUCKETS | {"met": _met("AND va.label = vb.label"), "near": ranked}
+    )
+    pairs = _BUCKETS | {"met": _met(), "pairs": "SELECT * FROM met WHERE distance < 1.2"}
+    out["similar_lsh"] = _with(
+        None, "SELECT user1, user2, round(distance, 6) AS distance FROM pairs", pairs
+    )
+    shaped = """
+        SELECT CAST(user1 AS VARCHAR) AS user1, md5(CAST(user1 AS VARCHAR)) AS user1_md5,
+               CAST(user2 AS VARCHAR) AS user2, '0' AS user2_tp_id,
+               md5(CAST(user2 AS VARCHAR)) AS user2_md5, round(1 - distance, 6) AS score,
+               '4' AS emode FROM """
+    out["result_table"] = _with(None, shaped + "pairs", pairs)
+    out["recommendation_files"] = _with(
+        None, shaped + "near WHERE rn <= 5", {"vecs": _VECTORS, "met": exact, "near": ranked}
+    )
+    out["cosine_scores"] = _with(
+        None, "SELECT user1, user2, round(1 - distance * distance / 2, 6) AS score FROM pairs", pairs
+    )
+    out["sql_function_scores"] = _with(
+        None,
+        """SELECT user1, user2, round(1 - round(distance, 6), 6) AS score,
+                  md5(CAST(user1 AS VARCHAR)) AS user1_md5, '0' AS tp, '4' AS emode FROM pairs""",
+        pairs,
+    )
+    out["nearest_to_key"] = f"""
+        SELECT id, round(list_distance(v, list_transform(range(64), lambda i: 0.125)), 6) AS distance
+        FROM ({_VECTORS}) ORDER BY list_distance(v, list_transform(range(64), lambda i: 0.125)), id
+        LIMIT 10"""
+    coefficient = _uniform("'123|{}|' || j")
+    out["similar_minhash"] = _with(
+        "cleaned",
+        """SELECT user1, user2, round(1 - common / (s1.size + s2.size - common), 6) AS distance
+           FROM common JOIN sizes s1 ON s1.member_id = user1 JOIN sizes s2 ON s2.member_id = user2
+           WHERE 1 - common / (s1.size + s2.size - common) < 0.95""",
+        {
+            "sizes": "SELECT member_id, count(*) AS size FROM cleaned GROUP BY 1",
+            "functions": f"""
+                SELECT j, 1 + CAST(floor({coefficient.format('a')} * 2147483646) AS BIGINT) AS a,
+                       CAST(floor({coefficient.format('b')} * 2147483647) AS BIGINT) AS b
+                FROM range(0, 10) r(j)""",
+            "minima": """
+                SELECT member_id, j,
+                       min((('0x' || substr(md5(item_id), 1, 8))::BIGINT % 2147483647 * a + b)
+                           % 2147483647) AS m
+                FROM cleaned, functions GROUP BY 1, 2""",
+            "met": """
+                SELECT DISTINCT x.member_id AS user1, y.member_id AS user2
+                FROM minima x JOIN minima y ON x.j = y.j AND x.m = y.m
+                  AND x.member_id <> y.member_id""",
+            "common": """
+                SELECT user1, user2, count(*) AS common
+                FROM met JOIN cleaned p ON p.member_id = user1
+                JOIN cleaned q ON q.member_id = user2 AND q.item_id = p.item_id GROUP BY 1, 2""",
+        },
+    )
+    return out
+
+
+def _function_statements() -> dict[str, str]:
+    return {
+        "md5_functions": """
+            SELECT c_custkey, md5(c_name) AS md5, substr(md5(c_name), 9, 16) AS md5_16 FROM customer""",
+        "date_functions": """
+            SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS date_key,
+                   date_diff('day', DATE '1995-06-15', CAST(o_orderdate AS DATE)) AS days,
+                   strftime(CAST(o_orderdate AS DATE) + 40, '%Y%m%d') AS later,
+                   strftime(CAST(o_orderdate AS DATE) + CAST(7 - dayofweek(o_orderdate) AS INTEGER),
+                            '%Y-%m-%d') AS week_end
+            FROM orders""",
+        "minute_functions": """
+            SELECT event_id, hour(ts) * 60 + minute(ts) AS minute,
+                   hour(ts) % 12 * 60 + minute(ts) AS minute12 FROM events""",
+    }
+
+
+def _file_statements(so_far: dict[str, str]) -> dict[str, str]:
+    """What was written and read back equals what was written."""
+    extra, body = _walks("greedy", 10, 2)
+    walked = _with("strongest", body, extra, recursive=True)
+    return {
+        "interaction_log_scan": so_far["clean_interactions"],
+        "selected_records_files": so_far["selected_records"],
+        "node_index_files": so_far["node_index"],
+        "walk_files": f"SELECT seg_id, nodes FROM ({walked})",
+        "sequence_files": f"SELECT nodes AS tokens FROM ({walked})",
+        "edge_list_files": so_far["user_graph"],
+        "side_information_files": f"""
+            SELECT * EXCLUDE (sal), array_to_string(sal, '|') AS sal FROM ({_ITEMS})""",
+        "embedding_files": f"""
+            SELECT label AS seg_id, CAST(id AS VARCHAR) AS member_id, dim, round(value, 6) AS value
+            FROM ({_UNIT_VECTORS})""",
+    }

@@ -108,9 +108,11 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
-    """``a b weight`` lines: (src, dst, weight)."""
+    """``a b weight`` lines: (src, dst, weight), with seg_id if partitioned by it."""
     f = _fields()
-    return spark.read.text(path).select(
+    rows = spark.read.text(path)
+    return rows.select(
+        *[c for c in rows.columns if c != "value"],
         F.get(f, 0).try_cast("bigint").alias("src"),
         F.get(f, 1).try_cast("bigint").alias("dst"),
         F.get(f, 2).try_cast("double").alias("weight"),
