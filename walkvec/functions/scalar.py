@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    An expression used inside a lambda is otherwise computed once per element.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def uniform(*parts: Column | str | int) -> Column:
     """A number in [0, 1) from the first 52 bits of the md5 of the joined key.
 
@@ -66,8 +76,8 @@ def dot(a: Column, b: Column) -> Column:
 def l2_normalise(vector: Column) -> Column:
     """Unit vector of doubles; null for a zero vector."""
     norm = F.nullif(F.sqrt(dot(vector, vector)), F.lit(0.0))
-    scaled = F.transform(vector, lambda x: x.cast("double") / norm)
-    return F.when(norm.isNotNull(), scaled)
+    scaled = let(norm, lambda n: F.transform(vector, lambda x: x.cast("double") / n))
+    return F.when(F.exists(vector, lambda x: x != 0), scaled)
 
 
 def round_vector(vector: Column, digits: int = 6) -> Column:
@@ -84,9 +94,13 @@ def vector_sum(vectors: Column, size: int) -> Column:
 
 def softmax(values: Column) -> Column:
     """exp and normalise to sum 1, shifted by the maximum against overflow."""
-    exps = F.transform(values, lambda x: F.exp(x - F.array_max(values)))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(exps, lambda x: x / total)
+    exps = let(F.array_max(values), lambda m: F.transform(values, lambda x: F.exp(x - m)))
+
+    def over_total(e: Column) -> Column:
+        total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+        return let(total, lambda t: F.transform(e, lambda x: x / t))
+
+    return let(exps, over_total)
 
 
 def score_from_distance(distance: Column) -> Column:

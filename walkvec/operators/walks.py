@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walkvec.functions.scalar import uniform
+from walkvec.functions.scalar import let, uniform
 from walkvec.operators.graph import adjacency
 from walkvec.stage import stage
 
@@ -25,15 +25,18 @@ def next_node(strategy: str, dead_end: str, u: Column) -> Column:
     """
     nbrs = F.col("nbrs")
     total = F.col("kept_units") if dead_end == "renormalize" else F.col("degree_units")
-    draw = u * total
     if strategy == "weighted":
-        return F.get(F.filter(nbrs, lambda n: draw < n["cum"]), 0)["dst"]
+        return let(
+            u * total, lambda draw: F.get(F.filter(nbrs, lambda n: draw < n["cum"]), 0)["dst"]
+        )
     chosen = (
         F.element_at(nbrs, -1)["dst"]
         if strategy == "greedy"
         else F.get(nbrs, F.floor(u * F.size(nbrs)).cast("int"))["dst"]
     )
-    return chosen if dead_end == "renormalize" else F.when(draw < F.col("kept_units"), chosen)
+    if dead_end == "renormalize":
+        return chosen
+    return F.when(u * total < F.col("kept_units"), chosen)
 
 
 def random_walks(
