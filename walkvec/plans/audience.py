@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,15 +88,11 @@ def node_vectors(node_walks: DataFrame, cfg: Config, estimator: bool = True) ->
         ranks = sequences.token_ranks(sequences.array_positions(sentences), cfg.min_count)
         uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
         pairs = sequences.pairs_from_arrays(sentences, cfg.window)
+        training = train.Training(size=cfg.vector_size, epochs=cfg.iterations, seed=cfg.seed)
+        # The configured rate is that of one example, as for the estimator.
+        training = replace(training, learning_rate=cfg.learning_rate * training.batch)
         words = train.trained_word_vectors(
-            pairs.select(uid.alias("uid"), "center", "context"),
-            stage(ranks, "ranks"),
-            train.Training(
-                size=cfg.vector_size,
-                learning_rate=cfg.learning_rate,
-                epochs=cfg.iterations,
-                seed=cfg.seed,
-            ),
+            pairs.select(uid.alias("uid"), "center", "context"), stage(ranks, "ranks"), training
         )
     parts = F.split("token", "[|]")
     return words.select(
