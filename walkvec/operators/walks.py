@@ -73,11 +73,11 @@ def random_walks(
                 adj.withColumnRenamed("node_id", "cur"), ["seg_id", "cur"]
             )
         u = uniform(seed, F.col("walk_id"), step)
-        walks = walks.select(
-            "seg_id", "walk_id", "nodes", next_node(strategy, dead_end, u).alias("cur")
-        )
-        if step < steps:
-            walks = walks.where(F.col("cur").isNotNull())
+        drawn = F.array(next_node(strategy, dead_end, u))
+        # Exploding the one-element array drops dead walks, and keeps the optimizer
+        # from computing the draw a second time as a join condition.
+        drawn = F.array_compact(drawn) if step < steps else drawn
+        walks = walks.select("seg_id", "walk_id", "nodes", F.explode(drawn).alias("cur"))
         last = F.coalesce("cur", F.lit(SENTINEL)) if keep_sentinel else F.col("cur")
         walks = walks.withColumn("nodes", F.array_compact(F.concat("nodes", F.array(last))))
         if step % stage_every == 0 and step < steps:

@@ -133,12 +133,16 @@ def train_side_vectors(
     tokens: DataFrame, encoded: DataFrame, window: int, t: train.Training
 ) -> SideFit:
     """Train item side vectors on the pairs of token sequences."""
-    pairs = sequences.skipgram_pairs(tokens, window)
-    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
-    ranks = stage(sequences.token_ranks(tokens), "ranks")
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos").alias("uid")
+    pairs = sequences.skipgram_pairs(tokens, window).select(uid, "center", "context")
+    return train_side_pairs(pairs, stage(sequences.token_ranks(tokens), "ranks"), encoded, t)
+
+
+def train_side_pairs(
+    pairs: DataFrame, ranks: DataFrame, encoded: DataFrame, t: train.Training
+) -> SideFit:
+    """Train item side vectors on pairs (uid, center, context)."""
     references = train.side_references(encoded)
-    examples = train.prepare_examples(
-        pairs.select(uid.alias("uid"), "center", "context"), references, ranks, t
-    )
+    examples = train.prepare_examples(pairs, references, ranks, t)
     initial = train.initial_parameters(references, ranks, t)
     return SideFit(examples, ranks, initial, train.train(examples, ranks, initial, t))
