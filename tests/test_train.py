@@ -41,6 +41,16 @@ def test_no_words_gives_an_empty_result(spark):
     assert audience.node_vectors(df, Config()).collect() == []
 
 
+def test_estimator_model_is_saved_and_loaded(spark, tmp_path):
+    from pyspark.ml.feature import Word2VecModel
+
+    sentences = _communities(spark, 20).select(F.col("nodes").alias("tokens"))
+    model = train.fit_estimator(sentences, 4, 2, 0.025, 1, 1, 100, seed=1)
+    model.save(str(tmp_path / "model"))
+    loaded = Word2VecModel.load(str(tmp_path / "model"))
+    assert loaded.getVectors().count() == model.getVectors().count() == 20
+
+
 def test_estimator_refuses_a_model_too_large_for_the_driver(spark, monkeypatch):
     monkeypatch.setattr(train, "ESTIMATOR_LIMIT", 10)
     with pytest.raises(ValueError):

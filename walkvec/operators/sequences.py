@@ -142,10 +142,18 @@ def cbow_rows(tokens: DataFrame, window: int, block: int = BLOCK_POSITIONS) -> D
     )
 
 
-def attach_side(pairs: DataFrame, side: DataFrame) -> DataFrame:
-    """Add the encoded side features of each pair's center; safe for hot centers."""
+def attach_side(
+    pairs: DataFrame, side: DataFrame, tokens: DataFrame | None = None
+) -> DataFrame:
+    """Add the encoded side features of each pair's center; safe for hot centers.
+
+    With the ``tokens`` the pairs came from, their frequencies are taken from them.
+    """
     table = side.withColumnRenamed("node", "center")
-    return lookup(pairs, table, ["center"], spread="context", how="inner")
+    counts = None
+    if tokens is not None:
+        counts = tokens.groupBy(F.col("token").alias("center")).agg(F.count("*").alias("_rows"))
+    return lookup(pairs, table, ["center"], spread="context", how="inner", counts=counts)
 
 
 def token_ranks(tokens: DataFrame, min_count: int = 1) -> DataFrame:
@@ -207,7 +215,7 @@ def training_batches(
     """
     pairs = skipgram_pairs(tokens, window)
     if side is not None:
-        pairs = attach_side(pairs, side)
+        pairs = attach_side(pairs, side, tokens)
     key = ["seq_id", "center_pos", "context_pos"]
     indexed = dense_index(pairs, [], key, "idx") if seed is None else shuffled(pairs, key, seed)
     return batches(indexed, batch_size, epochs)

@@ -28,6 +28,7 @@ def lookup(
     spread: str,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (unique on ``keys``) whatever the key skew.
 
@@ -41,7 +42,8 @@ def lookup(
     payload = [c for c in table.columns if c not in keys]
     found = table.select(*keys, F.struct(F.lit(True).alias("_hit"), *payload).alias("_cold"))
 
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    if counts is None:
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     hot = counts.where(
         (F.col("_rows") > hot_rows) & (F.col("_rows") * HOT_PARTS > total)

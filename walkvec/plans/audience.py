@@ -76,12 +76,12 @@ def node_vectors(node_walks: DataFrame, cfg: Config, estimator: bool = True) ->
         words = train.estimator_word_vectors(
             sentences,
             cfg.vector_size,
-            cfg.window,
-            cfg.learning_rate,
-            cfg.iterations,
-            cfg.min_count,
-            cfg.max_sentence_length,
-            cfg.seed,
+            window=cfg.window,
+            learning_rate=cfg.learning_rate,
+            iterations=cfg.iterations,
+            min_count=cfg.min_count,
+            max_sentence_length=cfg.max_sentence_length,
+            seed=cfg.seed,
         )
     else:
         sentences = stage(sentences, "sentences")

@@ -302,8 +302,9 @@ def _encoded(spark, d):
 
 @query
 def pairs_with_side(spark, d):
-    pairs = sequences.skipgram_pairs(_tokens(spark, d), 2)
-    return _published_codes(sequences.attach_side(pairs, _encoded(spark, d)))
+    tokens = _tokens(spark, d)
+    pairs = sequences.skipgram_pairs(tokens, 2)
+    return _published_codes(sequences.attach_side(pairs, _encoded(spark, d), tokens))
 
 
 @query
@@ -342,13 +343,14 @@ def _tables(vocabulary, items):
 def _attention(spark, d):
     items = inputs.side_information(spark, d)
     vocabulary = _vocabulary(items)
-    return embed.attention_embed(vocab.encode(items, vocabulary), _tables(vocabulary, items), SIZE)
+    encoded = stage(vocab.encode(items, vocabulary), "encoded")
+    return embed.attention_embed(encoded, _tables(vocabulary, items), SIZE)
 
 
 def _mean(spark, d):
     known = _known_items(spark, d)
     vocabulary = _vocabulary(known)
-    cold = _cold(spark, d, known, vocabulary)
+    cold = stage(_cold(spark, d, known, vocabulary), "encoded")
     return embed.mean_embed(cold, _tables(vocabulary, known), SIZE)
 
 
