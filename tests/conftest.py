@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # Tiny inputs: compiling each plan would take most of the time.
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(root / "stage"))
