@@ -6,31 +6,30 @@ checkpointed RDD it is columnar, so later steps read only the columns they use.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one in local mode only."""
+    """The folder named by spark.checkpoint.dir, else one in the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="walkvec-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stage"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the stage root."""
     app = spark.sparkContext.applicationId
-    return f"{stage_root(spark)}/walkvec-{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/walkvec-{app}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -39,3 +38,23 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``stage`` or ``stage_path`` named."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every table staged inside; for jobs that write their results."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            remove(spark, path)
