@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walkvec.llm import decontaminate, mixing, sharding
+from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, secret_scan, sharding
 from walkvec.llm.common import table
 
 
+def op1_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
@@ -18,16 +22,34 @@ def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+OPERATORS = (
+    op1_trigram_secrets,
+    op2_entropy_mixing,
+    op6_hilbert_sharding,
+    op7_rule_ledger,
+    op8_boosted_quality,
+    op10_winnowing_decontamination,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op2_entropy_mixing, op6_hilbert_sharding, op10_winnowing_decontamination)
-    }
+    return {f.__name__: f for f in OPERATORS}
 
 
 def statements() -> dict[str, str]:
-    return {"op10_winnowing_decontamination": decontaminate.CONTAMINATION_SQL}
+    return {
+        "op7_rule_ledger": quality_rules.RULES_SQL,
+        "op10_winnowing_decontamination": decontaminate.CONTAMINATION_SQL,
+    }
