@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, secret_scan, sharding
+from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, secret_scan, sharding, shingle_join
 from walkvec.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 OPERATORS = (
     op1_trigram_secrets,
     op2_entropy_mixing,
+    op3_shingle_join,
     op6_hilbert_sharding,
     op7_rule_ledger,
     op8_boosted_quality,
@@ -50,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def statements() -> dict[str, str]:
     return {
+        "op3_shingle_join": shingle_join.COMPONENT_SQL,
         "op7_rule_ledger": quality_rules.RULES_SQL,
         "op10_winnowing_decontamination": decontaminate.CONTAMINATION_SQL,
     }
