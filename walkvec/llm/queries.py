@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, secret_scan, sharding, shingle_join
+from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, repeats, secret_scan, sharding, shingle_join
 from walkvec.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op8_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ OPERATORS = (
     op6_hilbert_sharding,
     op7_rule_ledger,
     op8_boosted_quality,
+    op9_suffix_family,
     op10_winnowing_decontamination,
 )
 
