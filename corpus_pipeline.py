@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walkvec.llm import decontaminate, mixing, sharding
+from walkvec.llm import decontaminate, mixing, quality_model, sharding, shingle_join
 from walkvec.llm.common import table
 from walkvec.stage import stage
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for poor go."""
+    return quality_model.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return shingle_join.one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -25,6 +35,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("boosted_quality", quality),
+    ("shingle_join", near_copies),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mix_sources),
     ("hilbert_sharding", shards),

@@ -254,3 +254,20 @@ def scored_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose prediction is 1, all columns as they are.
+
+    The model is fitted first, from staged statistics of the same rows; then each row
+    is scored where it is read, so that no text is shuffled.
+    """
+    model = train(stage(statistics(docs.select("doc_id", "text")), "statistics"), labels, rows)
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = predict(model, text_statistics(batch.column(batch.schema.get_field_index("text")))) >= THRESHOLD
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, schema)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walkvec.llm import decontaminate, mixing, quality_model, quality_rules, repeats, secret_scan, sharding, shingle_join
+from walkvec.llm import (
+    decontaminate,
+    link_trust,
+    mixing,
+    pseudo_likelihood,
+    quality_model,
+    quality_rules,
+    repeats,
+    secret_scan,
+    sharding,
+    shingle_join,
+)
 from walkvec.llm.common import table
 
 
@@ -22,6 +33,14 @@ def op3_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judged_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.scored_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
 
@@ -46,6 +65,8 @@ OPERATORS = (
     op1_trigram_secrets,
     op2_entropy_mixing,
     op3_shingle_join,
+    op4_link_trust,
+    op5_pseudo_likelihood,
     op6_hilbert_sharding,
     op7_rule_ledger,
     op8_boosted_quality,
