@@ -29,6 +29,14 @@ def uniform(*columns: Column | str, seed: int = 0) -> Column:
     return bits / F.lit(float(1 << 30))
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that none of the columns begins with, for columns added beside them."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph (a, b), a != b, as (node, root).
 

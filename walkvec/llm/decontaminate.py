@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from walkvec.llm.common import A_TO_Z
+from walkvec.llm.common import A_TO_Z, free_prefix
 from walkvec.stage import stage
 
 #: Words consist of ASCII letters and digits and all characters beyond ASCII.
@@ -152,9 +152,9 @@ def clean_documents(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: i
     Verdicts are looked up by text, so rows that share an id do not share a verdict.
     """
     bad = decontaminate(docs.select("doc_id", "text"), items, span, gram, share)
-    bad = bad.where("contaminated").select(F.col("key").alias("_key")).distinct()
+    bad = bad.where("contaminated").select(F.col("key").alias(f"{free_prefix(docs)}key")).distinct()
     key = F.md5(F.coalesce("text", F.lit("")))
-    return docs.join(bad, key == F.col("_key"), "left_anti")
+    return docs.join(bad, key == F.col(bad.columns[0]), "left_anti")
 
 
 def _short_hits(texts: DataFrame, test: DataFrame, lengths: list[int]) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walkvec.llm.common import n_words, uniform
+from walkvec.llm.common import free_prefix, n_words, uniform
 from walkvec.operators.dense_index import dense_index
 from walkvec.stage import stage
 
@@ -246,16 +246,12 @@ def mixed_corpus(docs: DataFrame) -> DataFrame:
     wanted = mixed_documents(docs)
     # Copies follow from source, id and words; rows equal in them are taken equally often.
     wanted = wanted.groupBy("source", "doc_id", "size").agg(F.max("copies").alias("copies"))
-    wanted = stage(wanted.where("copies > 0"), "wanted").select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
-    )
+    own = free_prefix(docs)
+    wanted = stage(wanted.where("copies > 0"), "wanted").toDF(f"{own}source", f"{own}id", f"{own}size", f"{own}copies")
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (n_words("text") == F.col("_size"))
-    )
-    return (
-        docs.join(wanted, same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-        .select(*docs.columns)
+        F.col("doc_id").eqNullSafe(F.col(f"{own}id"))
+        & F.col("source").eqNullSafe(F.col(f"{own}source"))
+        & (n_words("text") == F.col(f"{own}size"))
     )
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"{own}copies")))
+    return docs.join(wanted, same).withColumn(f"{own}copy", copies).select(*docs.columns)
