@@ -185,3 +185,30 @@ def test_lookup_equals_a_join(spark, hot_rows, how):
     got = rows(skew.lookup(big, small, ["k"], "id", how, hot_rows).select("id", "v").fillna(-1.0))
     want = rows(big.join(small, "k", how).select("id", "v").fillna(-1.0))
     assert got == want
+
+
+def test_none_means_no_cut(spark):
+    from walkvec.operators import graph, interactions
+
+    cleaned = spark.createDataFrame([("u", f"i{k}", float(k + 1)) for k in range(30)], "member_id string, item_id string, rating double")
+    assert interactions.select_items(cleaned, 10).count() == 10
+    assert interactions.select_items(cleaned, None).count() == 30
+    edges = spark.createDataFrame([(0, 0, d, d) for d in range(1, 150)], "seg_id int, src bigint, dst bigint, units bigint")
+    assert graph.transitions(edges, 100).count() == 100
+    whole = graph.transitions(edges, None)
+    assert whole.count() == 149 and abs(whole.agg({"prob": "sum"}).first()[0] - 1) < 1e-9
+
+
+def test_a_hot_item_is_spread(spark, monkeypatch):
+    from walkvec.operators import graph, skew
+
+    monkeypatch.setattr(skew, "HOT_PARTS", 4)
+    rows = [(0, "hot", n, 10 + n % 3) for n in range(60)] + [(0, f"i{n % 7}", n, 5) for n in range(60)]
+    records = spark.createDataFrame(rows, "seg_id int, item_id string, node_id bigint, share_units bigint")
+    real = skew.lookup
+    monkeypatch.setattr(graph, "lookup", lambda *a, **k: real(*a, **(k | {"hot_rows": 5})))
+    got = {(r.node_id): r.degree_units for r in graph.weighted_degree_of_records(records).collect()}
+    want = {r.node_id: r.degree_units for r in graph.weighted_degree(graph.both_directions(graph.member_edges(records))).collect()}
+    assert got == want
+    assert graph.drop_items_of_size(records, 60).where("item_id = 'hot'").count() == 0
+    assert graph.drop_items_of_size(records, 60).count() == 60

@@ -61,11 +61,44 @@ def test_vocabulary_and_item_vectors(spark, tmp_path):
 def test_recommendations_need_the_first_file_only(spark, tmp_path):
     (tmp_path / "rec_0").write_text("a\tb\t0.5\nbad line\n")
     (tmp_path / "rec_2").write_text("c\tc\t1.0\nc\td\t0.25\n")
-    paths = [str(tmp_path / f"rec_{i}") for i in range(3)]
-    got = similar.result_rows(readers.read_recommendations(spark, paths[0], paths[1:]))
-    assert rows(got, "user1", "user2", "score") == [("a", "b", 0.5), ("c", "d", 0.25)]
+    (tmp_path / "rec_39").write_text("e\tf\t0.5\n")
+    (tmp_path / "rec_old").write_text("x\ty\t0.5\n")
+    got = similar.result_rows(readers.read_recommendations(spark, str(tmp_path)))
+    assert rows(got, "user1", "user2", "score") == [("a", "b", 0.5), ("c", "d", 0.25), ("e", "f", 0.5)]
+    assert rows(readers.recommendation_rejects(spark, str(tmp_path))) == [("bad line",)]
+    (tmp_path / "rec_0").unlink()
     with pytest.raises(FileNotFoundError):
-        readers.read_recommendations(spark, paths[1])
+        readers.read_recommendations(spark, str(tmp_path))
+
+
+def test_rejects(spark, tmp_path):
+    def lines(text):
+        path = tmp_path / f"f{len(list(tmp_path.iterdir()))}"
+        path.write_text(text)
+        return spark, str(path)
+
+    assert rows(readers.selected_record_rejects(*lines("a,b,0.5\na,b\na,b,x\n"))) == [("a,b",), ("a,b,x",)]
+    assert rows(readers.node_index_rejects(*lines("m\t1\t2\nm\tx\t2\n"))) == [("m\tx\t2",)]
+    assert rows(readers.edge_list_rejects(*lines("1 2 0.5\n1 b 0.5\n1 2\n"))) == [("1 2",), ("1 b 0.5",)]
+    bad = lines("1 2 3\n4 x\n")
+    assert rows(readers.walk_rejects(*bad)) == [("4 x",)]
+    assert rows(readers.read_walks(*bad), F.concat_ws(" ", "nodes")) == [("1 2 3",)]
+    assert rows(readers.sequence_rejects(*lines("1 2\n\n7\n3 x\n"))) == [("3 x",)]
+    vectors = lines("u\t0.5,x\nv\nw\t1.0,2.0\n")
+    assert rows(readers.embedding_rejects(*vectors)) == [("u\t0.5,x",), ("v",)]
+    assert rows(readers.read_embeddings(*vectors)) == [("w", [1.0, 2.0])]
+
+
+def test_equal_lines_are_sequences_of_their_own(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("1 2\n1 2\n1 2\n")
+    got = readers.read_sequences(spark, str(tmp_path))
+    assert got.select("seq_id").distinct().count() == got.count() == 3
+
+
+def test_a_null_vector_is_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", None), (1, "v", [1.0])], "seg_id int, member_id string, vector array<double>")
+    writers.write_embeddings(df, str(tmp_path / "e"))
+    assert rows(readers.read_embeddings(spark, str(tmp_path / "e")), "member_id", F.size("vector")) == [("u", None), ("v", 1)]
 
 
 def _result(spark, *pairs):

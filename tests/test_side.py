@@ -124,3 +124,14 @@ def test_names_drop_tokens_that_are_no_node(spark):
     vectors = spark.createDataFrame([(0, 1, [3.0, 4.0]), (0, -1, [1.0, 0.0])], "seg_id int, node_id bigint, vector array<double>")
     nodes = spark.createDataFrame([("u", 1, 0)], "member_id string, node_id bigint, seg_id int")
     assert [(r.member_id, r.vector) for r in embed.name_vectors(vectors, nodes).collect()] == [("u", [0.6, 0.8])]
+
+
+def test_equal_rows_stay_items_of_their_own(spark, vocabulary):
+    df = spark.createDataFrame([KNOWN[0], KNOWN[0], KNOWN[1]], ITEM)
+    got = [tuple(r.sal_idx) for r in vocab.encode(df, vocabulary).collect()]
+    assert sorted(got) == [(0, 1), (0, 1), (1,)]
+    tables = spark.createDataFrame(
+        [(f, i, [1.0, float(i)]) for f in vocab.FEATURES for i in (0, 1)], "tbl string, row_id bigint, vec array<double>"
+    )
+    mean = embed.mean_embed(vocab.encode(df, vocabulary), tables, 2).collect()
+    assert len(mean) == 3 and all(abs(r.vector[0] - 1.0) < 1e-9 for r in mean)

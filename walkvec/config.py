@@ -15,8 +15,8 @@ GENDER_CODES = ("124000000020", "124000000010")
 class Config:
     # cleaning
     rating_min: float = 0.00005
-    item_user_cap: int = 10_000
-    items_per_member: int = 10
+    item_user_cap: int | None = 10_000  # None: no item is too popular
+    items_per_member: int | None = 10  # None: all items
     # segments
     segment_labels: tuple[str, ...] = SEGMENT_LABELS
     segment_aliases: tuple[tuple[str, str], ...] = SEGMENT_ALIASES

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from walkvec.operators.cells import BLOCK_ROWS, join_pairs
 from walkvec.operators.interactions import SHARE_UNIT, share_units
+from walkvec.operators.skew import lookup
+from walkvec.stage import stage
 
 WEIGHT_UNIT = SHARE_UNIT * SHARE_UNIT
 
@@ -30,8 +32,8 @@ def drop_items_of_size(records: DataFrame, size: int | None) -> DataFrame:
     if size is None:
         return records
     exact = records.groupBy("seg_id", "item_id").agg(F.count("*").alias("_n"))
-    exact = exact.where(F.col("_n") == size)
-    return records.join(exact, ["seg_id", "item_id"], "left_anti")
+    found = lookup(records, exact, ["seg_id", "item_id"], spread="node_id", counts=exact.withColumnRenamed("_n", "_rows"))
+    return found.where(F.col("_n") != size).drop("_n")
 
 
 def member_edges(records: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -73,30 +75,30 @@ def weighted_degree_of_records(records: DataFrame) -> DataFrame:
     totals = records.groupBy("seg_id", "item_id").agg(
         F.sum("share_units").alias("_total"), F.count("*").alias("_users")
     )
+    totals = stage(totals.where("_users > 1"), "totals")
     met = F.col("share_units") * (F.col("_total") - F.col("share_units"))
-    return (
-        records.join(totals.where("_users > 1"), ["seg_id", "item_id"])
-        .groupBy("seg_id", "node_id")
-        .agg(F.sum(met).alias("degree_units"))
-    )
+    keys = ["seg_id", "item_id"]
+    counts = totals.select(*keys, F.col("_users").alias("_rows"))
+    found = lookup(records, totals.drop("_users"), keys, spread="node_id", how="inner", counts=counts)
+    return found.groupBy("seg_id", "node_id").agg(F.sum(met).alias("degree_units"))
 
 
 def transitions(
-    directed: DataFrame, neighbours: int, degree: DataFrame | None = None
+    directed: DataFrame, neighbours: int | None, degree: DataFrame | None = None
 ) -> DataFrame:
-    """The strongest neighbours per node with their probability.
+    """The strongest neighbours per node (None: all) with their probability.
 
     The probability is weight / full weighted degree, so a cut row sums to less
     than 1. The cut is also applied before the shuffle by source.
     """
     degree = weighted_degree(directed) if degree is None else degree
     strongest = Window.partitionBy("seg_id", "src").orderBy(F.desc("units"), "dst")
-    return (
-        directed.withColumn("_rn", F.row_number().over(strongest))
-        .where(F.col("_rn") <= neighbours)
-        .drop("_rn")
-        .join(degree.withColumnRenamed("node_id", "src"), ["seg_id", "src"])
-        .withColumn("prob", F.col("units") / F.col("degree_units"))
+    if neighbours is not None:
+        ranked = directed.withColumn("_rn", F.row_number().over(strongest))
+        directed = ranked.where(F.col("_rn") <= neighbours).drop("_rn")
+    degrees = degree.withColumnRenamed("node_id", "src")
+    return directed.join(degrees, ["seg_id", "src"]).withColumn(
+        "prob", F.col("units") / F.col("degree_units")
     )
 
 

@@ -37,8 +37,8 @@ def drop_hot_items(cleaned: DataFrame, cap: int) -> DataFrame:
     return anti_join_hot(cleaned, hot_items(cleaned, cap), "item_id", "member_id")
 
 
-def select_items(cleaned: DataFrame, per_member: int) -> DataFrame:
-    """Top items per member by squared rating, with their share of its weight.
+def select_items(cleaned: DataFrame, per_member: int | None) -> DataFrame:
+    """Top items per member by squared rating (None: all), with their share of its weight.
 
     The row_number filter is also applied before the shuffle by member, so a
     member with very many items sends only ``per_member`` rows per task.
@@ -46,11 +46,11 @@ def select_items(cleaned: DataFrame, per_member: int) -> DataFrame:
     by_weight = Window.partitionBy("member_id").orderBy(F.desc("w"), "item_id")
     whole = Window.partitionBy("member_id")
     share = F.floor(F.col("w") / F.sum("w").over(whole) * SHARE_UNIT + F.lit(0.5)).cast("bigint")
+    weighted = cleaned.select("member_id", "item_id", F.pow("rating", F.lit(2.0)).alias("w"))
+    if per_member is not None:
+        weighted = weighted.withColumn("rn", F.row_number().over(by_weight)).where(F.col("rn") <= per_member)
     return (
-        cleaned.select("member_id", "item_id", F.pow("rating", F.lit(2.0)).alias("w"))
-        .withColumn("rn", F.row_number().over(by_weight))
-        .where(F.col("rn") <= per_member)
-        .withColumn("share_units", share)
+        weighted.withColumn("share_units", share)
         .select(
             "member_id",
             "item_id",

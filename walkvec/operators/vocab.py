@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from walkvec.operators.dense_index import dense_index
 from walkvec.operators.skew import lookup
+from walkvec.stage import stage
 
 # The side columns in file order; the last one is multi-valued.
 SINGLE = ("gds", "gen_gds", "l4", "l3", "l2", "big_brand", "shop")
@@ -17,7 +18,7 @@ SLOTS = ("gds", "gen_gds", "shop", "l4", "l3", "l2", "big_brand", "sal")
 # Features an item outside the training data may lack.
 OPTIONAL = ("gds", "gen_gds")
 
-# What identifies an item row; unique in a side-information table.
+# What an item row is published by. Rows may be equal in it: each stays an item of its own.
 KEY = ("node", "gds", "shop")
 
 
@@ -55,13 +56,14 @@ def cardinalities(vocabulary: DataFrame) -> DataFrame:
 def _encoded(items: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """One row per item with an index per feature (null where unknown), the known
     values of the multi-valued feature in order, and how many of its values there are."""
-    long = feature_values(items, KEY)
-    found = lookup(long, vocabulary, ["feature", "value"], spread="k_node")
+    numbered = stage(items.withColumn("row", F.monotonically_increasing_id()), "items")
+    long = stage(feature_values(numbered, ("row", *KEY)), "values")
+    found = lookup(long, vocabulary, ["feature", "value"], spread="k_row")
     single = [F.max(F.when(F.col("feature") == f, F.col("idx"))).alias(f"{f}_idx") for f in SINGLE]
     known = F.when((F.col("feature") == MULTI) & F.col("idx").isNotNull(), F.struct("ord", "idx"))
     # An item's own list of values: bounded by the input row it came from.
     listed = F.transform(F.array_sort(F.collect_list(known)), lambda s: s["idx"])
-    return found.groupBy(*[f"k_{k}" for k in KEY]).agg(
+    return found.groupBy("k_row", *[f"k_{k}" for k in KEY]).agg(
         *single,
         listed.alias("sal_idx"),
         F.count(F.when(F.col("feature") == MULTI, F.lit(1))).alias("_sal_values"),

@@ -22,7 +22,9 @@ class Origin:
 
 def selected_records(log: DataFrame, cfg: Config) -> DataFrame:
     cleaned = interactions.clean(log, cfg.rating_min)
-    kept = interactions.drop_hot_items(cleaned, cfg.item_user_cap)
+    kept = cleaned
+    if cfg.item_user_cap is not None:
+        kept = interactions.drop_hot_items(cleaned, cfg.item_user_cap)
     return interactions.select_items(kept, cfg.items_per_member)
 
 

@@ -14,7 +14,7 @@ from walkvec.plans import audience, inputs
 from walkvec.sources import readers, writers
 from walkvec.stage import stage, stage_path
 
-CFG = replace(inputs.CONFIG, walks_per_node=2)
+CFG = inputs.CONFIG
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -48,12 +48,12 @@ def item_users(spark, d):
 
 @query
 def hot_items(spark, d):
-    return interactions.hot_items(_cleaned(spark, d), CFG.item_user_cap)
+    return interactions.hot_items(_cleaned(spark, d), inputs.FEWER_USERS)
 
 
 @query
 def drop_hot_items(spark, d):
-    return interactions.drop_hot_items(_cleaned(spark, d), CFG.item_user_cap)
+    return interactions.drop_hot_items(_cleaned(spark, d), inputs.FEWER_USERS)
 
 
 @query
@@ -207,7 +207,7 @@ def skipgram_pairs(spark, d):
 
 @query
 def cbow_rows(spark, d):
-    rows = sequences.cbow_rows(_tokens(spark, d), 3)
+    rows = sequences.cbow_rows(_tokens(spark, d), CFG.window)
     return rows.withColumn("context", F.array_join("context", ",", "-"))
 
 
@@ -228,7 +228,7 @@ def token_ranks(spark, d):
 def negatives(spark, d):
     tokens = _tokens(spark, d)
     size = sequences.token_ranks(tokens).agg(F.count("*")).scalar()
-    pairs = sequences.skipgram_pairs(tokens, 1)
+    pairs = sequences.skipgram_pairs(tokens, CFG.window)
     key = ["seq_id", "center_pos", "context_pos"]
     return sequences.negatives(pairs, key, size, 5, CFG.seed)
 
@@ -303,26 +303,26 @@ def _encoded(spark, d):
 @query
 def pairs_with_side(spark, d):
     tokens = _tokens(spark, d)
-    pairs = sequences.skipgram_pairs(tokens, 2)
+    pairs = sequences.skipgram_pairs(tokens, CFG.window)
     return _published_codes(sequences.attach_side(pairs, _encoded(spark, d), tokens))
 
 
 @query
 def shuffle_batches(spark, d):
-    pairs = sequences.skipgram_pairs(_tokens(spark, d), 1)
+    pairs = sequences.skipgram_pairs(_tokens(spark, d), CFG.window)
     key = ["seq_id", "center_pos", "context_pos"]
     return sequences.batches(sequences.shuffled(pairs, key, CFG.seed), 100, epochs=2)
 
 
 @query
 def training_batches(spark, d):
-    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), 1, 100)
+    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), CFG.window, 100)
     return _published_codes(rows)
 
 
 @query
 def evaluation_batches(spark, d):
-    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), 1, 100, seed=None)
+    rows = sequences.training_batches(_tokens(spark, d), _encoded(spark, d), CFG.window, 100, seed=None)
     return _published_codes(rows)
 
 
@@ -333,7 +333,7 @@ SIZE = 16
 
 def _components(vectors, *keys):
     """One row per component, rounded."""
-    return vectors.select(*keys, F.posexplode(scalar.round_vector("vector")).alias("dim", "value"))
+    return vectors.select(*keys, F.posexplode_outer(scalar.round_vector("vector")).alias("dim", "value"))
 
 
 def _tables(vocabulary, items):
@@ -554,10 +554,8 @@ def recommendation_files(spark, d):
     root = stage_path(spark, "rec")
     rows = similar.scored(similar.similar_topk(inputs.vectors(spark, d), 5))
     line = F.concat_ws("\t", "user1", "user2", F.round("score", 6))
-    # The first folder must exist, later ones may be absent.
     rows.select(line.alias("value"), F.col("seg_id").alias("rec")).write.partitionBy("rec").text(root)
-    paths = [f"{root}/rec={i}" for i in range(16)]
-    return similar.result_rows(readers.read_recommendations(spark, paths[0], paths[1:]))
+    return similar.result_rows(readers.read_recommendations(spark, root, "rec="))
 
 
 @query

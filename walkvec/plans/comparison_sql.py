@@ -13,7 +13,9 @@ _STEPS = {
         WHERE vip = 1 AND length(item_id) > 0
         GROUP BY member_id, item_id HAVING max(rating) >= 0.00005""",
     "hot": "SELECT item_id, count(*) AS users FROM cleaned GROUP BY item_id HAVING count(*) > 28",
-    "kept": "SELECT * FROM cleaned WHERE item_id NOT IN (SELECT item_id FROM hot)",
+    "kept": """
+        SELECT * FROM cleaned WHERE item_id NOT IN (
+            SELECT item_id FROM cleaned GROUP BY item_id HAVING count(*) > 10000)""",
     "ranked": """
         SELECT member_id, item_id, rating * rating AS w,
                row_number() OVER (PARTITION BY member_id ORDER BY rating * rating DESC, item_id) AS rn
@@ -117,7 +119,9 @@ def statements() -> dict[str, str]:
         "cleaned", "SELECT item_id, count(*) AS users FROM cleaned GROUP BY item_id"
     )
     out["hot_items"] = _with("hot", "SELECT * FROM hot")
-    out["drop_hot_items"] = _with("kept", "SELECT * FROM kept")
+    out["drop_hot_items"] = _with(
+        "hot", "SELECT * FROM cleaned WHERE item_id NOT IN (SELECT item_id FROM hot)"
+    )
     out["selected_records"] = _with(
         "selected", "SELECT member_id, item_id, units / 100000.0 AS share FROM selected"
     )
@@ -151,18 +155,18 @@ def statements() -> dict[str, str]:
         {"adj": _ADJACENCY.format(order="units, dst", top=10)},
     )
     for name, options in {
-        "walks_weighted": dict(strategy="weighted", steps=10, per_node=2),
-        "walks_greedy": dict(strategy="greedy", steps=10, per_node=2),
+        "walks_weighted": dict(strategy="weighted", steps=10, per_node=10),
+        "walks_greedy": dict(strategy="greedy", steps=10, per_node=10),
         "walks_greedy_leak": dict(
-            strategy="greedy", steps=10, per_node=2, top=10, leak=True, sentinel=True
+            strategy="greedy", steps=10, per_node=10, top=10, leak=True, sentinel=True
         ),
-        "walks_weighted_leak": dict(strategy="weighted", steps=10, per_node=2, top=10, leak=True),
-        "walks_uniform": dict(strategy="uniform", steps=10, per_node=2),
+        "walks_weighted_leak": dict(strategy="weighted", steps=10, per_node=10, top=10, leak=True),
+        "walks_uniform": dict(strategy="uniform", steps=10, per_node=10),
         "walks_single": dict(strategy="weighted", steps=7, per_node=1, seed=7),
     }.items():
         extra, body = _walks(**options)
         out[name] = _with("strongest", body, extra, recursive=True)
-    extra, body = _walks("greedy", 10, 2)
+    extra, body = _walks("greedy", 10, 10)
     extra["visits"] = f"""
         SELECT seg_id, node, count(*) AS visits
         FROM (SELECT seg_id, unnest(string_split(nodes, ' ')) AS node FROM ({body})) GROUP BY 1, 2"""
@@ -191,9 +195,9 @@ def _pairs(window: int, tokens: str = "tokens") -> str:
     return f"""
         SELECT a.seq_id, a.pos AS center_pos, b.pos AS context_pos,
                a.token AS center, b.token AS context
-        FROM {tokens} a JOIN {tokens} b
-          ON a.seq_id = b.seq_id AND b.pos BETWEEN a.pos - {window} AND a.pos + {window}
-             AND a.pos <> b.pos"""
+        FROM (SELECT t.*, step FROM {tokens} t, (
+                SELECT unnest(range(-{window}, {window} + 1)) AS step) WHERE step <> 0) a
+        JOIN {tokens} b ON a.seq_id = b.seq_id AND b.pos = a.pos + a.step"""
 
 
 _PAIR_KEY = "seq_id || '|' || center_pos || '|' || context_pos"
@@ -222,11 +226,11 @@ def _sequence_statements() -> dict[str, str]:
         None,
         """SELECT seq_id, center_pos AS pos, center,
                   string_agg(CAST(context AS VARCHAR), ',' ORDER BY context_pos)
-                  || repeat(',-', 6 - CAST(count(*) AS INTEGER)) AS context
+                  || repeat(',-', 10 - CAST(count(*) AS INTEGER)) AS context
            FROM pairs GROUP BY 1, 2, 3""",
-        tokens | {"pairs": _pairs(3)},
+        tokens | {"pairs": _pairs(5)},
     )
-    extra, body = _walks("greedy", 10, 2)
+    extra, body = _walks("greedy", 10, 10)
     extra["walked"] = f"""
         SELECT walk_id AS seq_id, unnest(range(len(string_split(nodes, ' ')))) AS pos,
                CAST(unnest(string_split(nodes, ' ')) AS BIGINT) AS token FROM ({body})"""
@@ -238,13 +242,13 @@ def _sequence_statements() -> dict[str, str]:
         f"""SELECT pairs.*, draw,
                    least(CAST(floor(exp({u} * ln(size + 1))) AS BIGINT) - 1, size - 1) AS negative
             FROM pairs, range(1, 6) r(draw), (SELECT count(DISTINCT token) AS size FROM tokens)""",
-        tokens | {"pairs": _pairs(1)},
+        tokens | {"pairs": _pairs(5)},
     )
     shuffle = f"md5('42|' || {_PAIR_KEY}), seq_id, center_pos, context_pos"
     out["shuffle_batches"] = _with(
-        None, "SELECT * FROM batched", tokens | {"pairs": _pairs(1)} | _batched("pairs", shuffle, 2)
+        None, "SELECT * FROM batched", tokens | {"pairs": _pairs(5)} | _batched("pairs", shuffle, 2)
     )
-    codes = tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(1)}
+    codes = tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(5)}
     sided = "SELECT pairs.*, coded.* EXCLUDE (node) FROM pairs JOIN coded ON node = center"
     out["training_batches"] = _with(
         None, "SELECT * FROM batched", codes | {"sided": sided} | _batched("sided", shuffle, 1)
@@ -254,7 +258,7 @@ def _sequence_statements() -> dict[str, str]:
         None, "SELECT * FROM batched", codes | {"sided": sided} | _batched("sided", in_order, 1)
     )
     out["pairs_with_side"] = _with(
-        None, sided, tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(2)}
+        None, sided, tokens | _encoding() | {"coded": _CODED, "pairs": _pairs(5)}
     )
     return out
 
@@ -409,7 +413,8 @@ def _met(extra_condition: str = "") -> str:
 def _similarity_statements() -> dict[str, str]:
     out: dict[str, str] = {}
     out["normalize_vectors"] = f"""
-        SELECT id, dim, round(value, 6) AS value FROM ({_UNIT_VECTORS}) WHERE label <> 0"""
+        SELECT id, dim, round(value, 6) AS value FROM ({_UNIT_VECTORS}) WHERE label <> 0
+        UNION ALL SELECT vec_id, NULL, NULL FROM embeddings WHERE label = 0"""
     exact = """
         SELECT a.label AS seg_id, a.id AS user1, b.id AS user2, list_distance(a.v, b.v) AS distance
         FROM vecs a JOIN vecs b ON a.label = b.label AND a.id <> b.id"""
@@ -496,7 +501,7 @@ def _function_statements() -> dict[str, str]:
 
 def _file_statements(so_far: dict[str, str]) -> dict[str, str]:
     """What was written and read back equals what was written."""
-    extra, body = _walks("greedy", 10, 2)
+    extra, body = _walks("greedy", 10, 10)
     walked = _with("strongest", body, extra, recursive=True)
     return {
         "interaction_log_scan": so_far["clean_interactions"],

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from walkvec.config import Config
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "-")
+#: Popular enough here to show what the cut does; only hot_items and drop_hot_items use it.
+FEWER_USERS = 28
 CONFIG = replace(
     Config(),
-    item_user_cap=28,
     segment_labels=SEGMENTS,
     segment_aliases=(("HOUSEHOLD", "FURNITURE"),),
     lsh_threshold=1.2,

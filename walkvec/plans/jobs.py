@@ -52,12 +52,9 @@ def run_audience_job(
         writers.append_result(audience.expand_audience(named, cfg), result_table, date)
 
 
-def load_recommendations(
-    spark: SparkSession, root: str, table: str, date: str, segments: int = 8
-) -> None:
-    """Recommendation files of up to ``segments`` segments into one date of the result table."""
-    paths = [f"{root}/rec_{i}" for i in range(segments)]
-    found = readers.read_recommendations(spark, paths[0], paths[1:])
+def load_recommendations(spark: SparkSession, root: str, table: str, date: str) -> None:
+    """Recommendation files of all segments into one date of the result table."""
+    found = readers.read_recommendations(spark, root)
     writers.overwrite_result(similar.result_rows(found), table, date)
 
 
@@ -68,10 +65,12 @@ def train_items(
     items = readers.read_side_information(spark, side_path)
     vocabulary = stage(vocab.build_vocabulary(items), "vocabulary")
     encoded = stage(vocab.encode(items, vocabulary), "encoded")
-    lines = stage(readers.read_sequences(spark, sequence_path), "sequences")
-    pairs = sequences.pairs_from_arrays(lines, window)
+    lines = readers.read_sequences(spark, sequence_path)
+    # A line may be of any length, so its pairs are formed block by block.
+    tokens = stage(sequences.array_positions(lines), "tokens")
+    pairs = sequences.skipgram_pairs(tokens, window)
     uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos").alias("uid")
-    ranks = stage(sequences.token_ranks(sequences.array_positions(lines)), "ranks")
+    ranks = stage(sequences.token_ranks(tokens), "ranks")
     fit = audience.train_side_pairs(pairs.select(uid, "center", "context"), ranks, encoded, t)
     writers.write_vocabulary(vocabulary, f"{out}/vocabulary")
     writers.write_parquet(train.parameter_tables(fit.params), f"{out}/tables")

@@ -3,24 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walkvec.operators.vocab import MULTI, SINGLE
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the session finds anything to read at ``path``."""
-    try:
-        spark.read.text(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+from walkvec.stage import stage
 
 
 def _fields(column: str = "value", pattern: str = "\\s+"):
@@ -57,66 +45,124 @@ def interaction_log_rejects(spark: SparkSession, path: str) -> DataFrame:
     return _parsed_log(spark, path).where("NOT _ok").select("value")
 
 
-def _delimited(spark: SparkSession, path: str, pattern: str, columns: Sequence[tuple[str, str]]):
-    """Rows with exactly as many fields as columns, all of which parse."""
-    fields = F.split("value", pattern, -1)
-    rows = spark.read.text(path).select(fields.alias("f")).where(F.size("f") == len(columns))
-    typed = rows.select(
-        *[F.get("f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
-    )
-    return typed.dropna()
+RECORDS = (("member_id", "string"), ("item_id", "string"), ("share", "double"))
+NODES = (("member_id", "string"), ("node_id", "bigint"), ("seg_id", "int"))
+RECOMMENDATIONS = (("user1", "string"), ("user2", "string"), ("score", "double"))
+Paths = str | Sequence[str]
+
+
+def _extra(rows: DataFrame) -> list[str]:
+    """Columns that stem from the folders' names."""
+    return [c for c in rows.columns if c != "value"]
+
+
+def _delimited(spark: SparkSession, path: Paths, pattern: str, columns: Sequence[tuple[str, str]]):
+    """Lines with their fields, and whether there are as many as columns and all of them parse."""
+    rows = spark.read.text(path).withColumn("f", F.split("value", pattern, -1))
+    typed = [F.get("f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
+    ok = F.size("f") == len(columns)
+    for name, _ in columns:
+        ok = ok & F.col(name).isNotNull()
+    return rows.select("value", "f", *typed).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+
+
+def _good(rows: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    return rows.where("_ok").select(*[name for name, _ in columns])
+
+
+def _bad(rows: DataFrame) -> DataFrame:
+    return rows.where("NOT _ok").select("value")
 
 
 def read_selected_records(spark: SparkSession, path: str) -> DataFrame:
-    columns = (("member_id", "string"), ("item_id", "string"), ("share", "double"))
-    return _delimited(spark, path, ",", columns)
+    return _good(_delimited(spark, path, ",", RECORDS), RECORDS)
+
+
+def selected_record_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _bad(_delimited(spark, path, ",", RECORDS))
 
 
 def read_node_index(spark: SparkSession, path: str) -> DataFrame:
-    columns = (("member_id", "string"), ("node_id", "bigint"), ("seg_id", "int"))
-    return _delimited(spark, path, "\t", columns)
+    return _good(_delimited(spark, path, "\t", NODES), NODES)
+
+
+def node_index_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _bad(_delimited(spark, path, "\t", NODES))
+
+
+def recommendation_paths(spark: SparkSession, root: str, prefix: str = "rec_") -> list[str]:
+    """The files or folders ``prefix``0, 1, 2, … that exist below ``root``; 0 must be there."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}*")
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().toString() for s in (system.globStatus(pattern) or ())]
+    numbered = [p for p in found if p.rsplit("/", 1)[1][len(prefix) :].isdigit()]
+    if not any(p.endswith(f"/{prefix}0") for p in numbered):
+        raise FileNotFoundError(f"{root}/{prefix}0")
+    return sorted(numbered)
 
 
-def read_recommendations(spark: SparkSession, required: str, optional: Sequence[str] = ()) -> DataFrame:
-    """``user1 \\t user2 \\t score`` files: the first must exist, the others may."""
-    columns = (("user1", "string"), ("user2", "string"), ("score", "double"))
-    if not path_exists(spark, required):
-        raise FileNotFoundError(required)
-    paths = [required, *[p for p in optional if path_exists(spark, p)]]
-    return reduce(DataFrame.unionByName, [_delimited(spark, p, "\t", columns) for p in paths])
+def read_recommendations(spark: SparkSession, root: str, prefix: str = "rec_") -> DataFrame:
+    """``user1 \\t user2 \\t score`` files of all segments below ``root``."""
+    paths = recommendation_paths(spark, root, prefix)
+    return _good(_delimited(spark, paths, "\t", RECOMMENDATIONS), RECOMMENDATIONS)
+
+
+def recommendation_rejects(spark: SparkSession, root: str, prefix: str = "rec_") -> DataFrame:
+    return _bad(_delimited(spark, recommendation_paths(spark, root, prefix), "\t", RECOMMENDATIONS))
+
+
+def _parsed_tokens(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    tokens = F.transform(_fields(), lambda x: x.try_cast(kind))
+    rows = spark.read.text(path)
+    return rows.withColumn("tokens", tokens).withColumn("_ok", ~F.exists("tokens", lambda x: x.isNull()))
 
 
 def read_walks(spark: SparkSession, path: str) -> DataFrame:
     """Space-separated node ids per line: (seg_id if partitioned, nodes)."""
-    rows = spark.read.text(path)
-    nodes = F.transform(_fields(), lambda x: x.cast("bigint")).alias("nodes")
-    return rows.select(*[c for c in rows.columns if c != "value"], nodes)
+    rows = _parsed_tokens(spark, path, "bigint").where("_ok")
+    return rows.select(*[c for c in _extra(rows) if c not in ("tokens", "_ok")], F.col("tokens").alias("nodes"))
+
+
+def walk_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _bad(_parsed_tokens(spark, path, "bigint"))
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     """Sequences of two or more integers, one per line: (seq_id, tokens).
 
-    ``seq_id`` is fixed by file and line content, so equal lines of a file share it.
+    Every line has an id of its own, fixed when the lines are written down here.
     """
-    rows = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
-    tokens = F.transform(_fields(), lambda x: x.try_cast("int"))
-    return (
-        rows.where(F.length(F.trim("value")) > 0)
-        .select(F.md5(F.concat_ws("|", "_file", "value")).alias("seq_id"), tokens.alias("tokens"))
-        .where((F.size("tokens") > 1) & ~F.exists("tokens", lambda x: x.isNull()))
-    )
+    rows = _parsed_tokens(spark, path, "int").where("_ok").where(F.size("tokens") > 1)
+    numbered = rows.select(F.monotonically_increasing_id().cast("string").alias("seq_id"), "tokens")
+    return stage(numbered, "sequences")
 
 
-def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
-    """``a b weight`` lines: (src, dst, weight), with seg_id if partitioned by it."""
+def sequence_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with something else than integers; blank lines and single tokens are no sequences, but no errors."""
+    return _bad(_parsed_tokens(spark, path, "int").where(F.length(F.trim("value")) > 0))
+
+
+def _parsed_edges(spark: SparkSession, path: str) -> DataFrame:
     f = _fields()
     rows = spark.read.text(path)
-    return rows.select(
-        *[c for c in rows.columns if c != "value"],
+    named = rows.select(
+        "value",
+        *_extra(rows),
         F.get(f, 0).try_cast("bigint").alias("src"),
         F.get(f, 1).try_cast("bigint").alias("dst"),
         F.get(f, 2).try_cast("double").alias("weight"),
-    ).dropna()
+    )
+    return named.withColumn("_ok", F.expr("src IS NOT NULL AND dst IS NOT NULL AND weight IS NOT NULL"))
+
+
+def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
+    """``a b weight`` lines: (src, dst, weight), with seg_id if partitioned by it."""
+    return _parsed_edges(spark, path).where("_ok").drop("value", "_ok")
+
+
+def edge_list_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _bad(_parsed_edges(spark, path))
 
 
 def _parsed_side(spark: SparkSession, path: str) -> DataFrame:
@@ -158,10 +204,20 @@ def vocabulary_size(items: DataFrame) -> DataFrame:
     return items.agg(F.countDistinct("node").alias("vocab_size"))
 
 
-def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    """``name \\t v,v,…`` lines: (member_id, vector)."""
-    f = F.split("value", "\t")
-    vector = F.transform(F.split(F.get(f, 1), ","), lambda x: x.cast("double"))
+def _parsed_embeddings(spark: SparkSession, path: str) -> DataFrame:
+    f = F.split("value", "\t", -1)
+    parts = F.transform(F.split(F.get(f, 1), ","), lambda x: x.try_cast("double"))
+    vector = F.when(F.get(f, 1) != "", parts)
     rows = spark.read.text(path)
-    extra = [c for c in rows.columns if c != "value"]
-    return rows.where(F.size(f) == 2).select(*extra, F.get(f, 0).alias("member_id"), vector.alias("vector"))
+    ok = (F.size(f) == 2) & (vector.isNull() | ~F.exists(vector, lambda x: x.isNull()))
+    named = rows.select("value", *_extra(rows), F.get(f, 0).alias("member_id"), vector.alias("vector"), ok.alias("_ok"))
+    return named.withColumn("_ok", F.coalesce("_ok", F.lit(False)))
+
+
+def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
+    """``name \\t v,v,…`` lines: (member_id, vector); a name alone has a null vector."""
+    return _parsed_embeddings(spark, path).where("_ok").drop("value", "_ok")
+
+
+def embedding_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _bad(_parsed_embeddings(spark, path))
