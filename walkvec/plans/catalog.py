@@ -612,3 +612,205 @@ def side_vectors(spark, d):
     fit = _side_training(spark, d)
     tables = train.parameter_tables(fit.params)
     return embed.export_items(embed.attention_embed(_encoded(spark, d), tables, SIZE))
+
+
+# --- more file and table ends -----------------------------------------------
+
+
+def _table_name(spark, label):
+    return stage_path(spark, label).rsplit("/", 1)[1].replace("-", "_")
+
+
+@query
+def member_base_partition(spark, d):
+    """Two dates of a base table; the second, with every other member, is read."""
+    name = _table_name(spark, "member_base")
+    base = inputs.member_base(spark, d)
+    days = base.withColumn("statis_date", F.lit("20260101")).unionByName(
+        base.where(F.col("memb_id").cast("bigint") % 2 == 0).withColumn("statis_date", F.lit("20260102"))
+    )
+    days.write.partitionBy("statis_date").format("parquet").saveAsTable(name)
+    return readers.read_member_base(spark, name, "20260102")
+
+
+def _result_in_table(spark, d, write_again):
+    name = _table_name(spark, "result")
+    rows = stage(similar.result_rows(_scored(spark, d)), "result")
+    writers.append_result(rows, name, "20260101")
+    writers.append_result(rows, name, "20260102")
+    write_again(rows, name, "20260102")
+    return spark.table(name)
+
+
+@query
+def result_table_appended(spark, d):
+    """The second date is added to, so it holds every row twice."""
+    return _result_in_table(spark, d, writers.append_result)
+
+
+@query
+def result_table_overwritten(spark, d):
+    """The second date is replaced by the rows with a score above 0; the first stays."""
+    return _result_in_table(
+        spark, d, lambda rows, name, dt: writers.overwrite_result(rows.where("score > 0"), name, dt)
+    )
+
+
+@query
+def csv_files(spark, d):
+    path = stage_path(spark, "csv")
+    writers.write_csv(selected_records(spark, d), path)
+    return spark.read.option("header", True).schema("member_id string, item_id string, share double").csv(path)
+
+
+@query
+def vector_text_files(spark, d):
+    """Word-vector text read back: the header line and one row per component."""
+    path = stage_path(spark, "vectors")
+    rows = inputs.vectors(spark, d).select(F.col("id").cast("string").alias("token"), scalar.round_vector("vector").alias("vector"))
+    writers.write_vector_text(rows, path, VECTOR_SIZE)
+    f = F.split("value", " ")
+    header = spark.read.text(f"{path}/header").select(
+        F.lit("header").alias("token"), F.get(f, 1).cast("int").alias("dim"), F.get(f, 0).cast("double").alias("value")
+    )
+    lines = spark.read.text(f"{path}/vectors").select(
+        F.get(f, 0).alias("token"), F.posexplode(F.slice(f, 2, VECTOR_SIZE)).alias("dim", "value")
+    )
+    return header.unionByName(lines.withColumn("value", F.col("value").cast("double")))
+
+
+@query
+def item_vector_files(spark, d):
+    path = stage_path(spark, "item_vectors")
+    writers.write_item_vectors(embed.export_items(_attention(spark, d)), path)
+    return _components(spark.read.parquet(path), "item_key")
+
+
+@query
+def vocabulary_files(spark, d):
+    path = stage_path(spark, "vocabulary")
+    writers.write_vocabulary(vocab.build_vocabulary(inputs.side_information(spark, d)), path)
+    return readers.read_vocabulary(spark, path)
+
+
+@query
+def few_record_files(spark, d):
+    """Records written to three files: how many files there are, and rows in all."""
+    path = stage_path(spark, "records")
+    writers.write_selected_records(selected_records(spark, d), path, files=3)
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"))
+    return lines.agg(F.countDistinct("file").alias("files"), F.count("*").alias("records"))
+
+
+@query
+def drop_exact_items(spark, d):
+    """Records without the (segment, item) groups of exactly two members."""
+    return graph.drop_items_of_size(_records(spark, d), 2)
+
+
+@query
+def day_keys(spark, d):
+    """Orders with the days from their date to today's key: both ends of the key functions."""
+    today = scalar.today_key()
+    days = scalar.date_key_diff(F.date_format("o_orderdate", "yyyyMMdd"), today)
+    back = scalar.date_key_add(today, -days)
+    return inputs.table(spark, d, "orders").select("o_orderkey", back.alias("date_key"))
+
+
+def _with_bad_lines(lines, key, bad):
+    """Every tenth line in a form that does not parse."""
+    return lines.select(F.when(F.pmod(F.col(key).cast("bigint"), F.lit(10)) == 0, bad).otherwise(F.col("value")).alias("value"))
+
+
+def _rejected(spark, label, rows, line, key, bad, read):
+    path = stage_path(spark, label)
+    lines = rows.withColumn("value", line)
+    _with_bad_lines(lines, key, bad).write.text(path)
+    return read(spark, path)
+
+
+@query
+def log_rejects(spark, d):
+    line = F.concat_ws(" ", "member_id", "item_id", "rating", "vip")
+    bad = F.concat_ws(" ", "member_id", "item_id", F.lit("much"), "vip")
+    rows = inputs.interactions(spark, d)
+    return _rejected(spark, "log", rows, line, "item_id", bad, readers.interaction_log_rejects)
+
+
+@query
+def record_rejects(spark, d):
+    rows = selected_records(spark, d)
+    line = F.concat_ws(",", "member_id", "item_id", "share")
+    bad = F.concat_ws(",", "member_id", "item_id")
+    return _rejected(spark, "records", rows, line, "item_id", bad, readers.selected_record_rejects)
+
+
+@query
+def node_rejects(spark, d):
+    line = F.concat_ws("\t", "member_id", "node_id", "seg_id")
+    bad = F.concat_ws("\t", "member_id", F.lit("x"), "seg_id")
+    return _rejected(spark, "nodes", node_index(spark, d), line, "member_id", bad, readers.node_index_rejects)
+
+
+@query
+def token_line_rejects(spark, d):
+    """Lines of walks and of sequences with something that is no number."""
+    rows = inputs.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    line = F.concat_ws(" ", "l_partkey", "l_suppkey")
+    bad = F.concat_ws(" ", "l_partkey", F.lit("x"), "l_orderkey")
+    walk = _rejected(spark, "walks", rows, line, "l_orderkey", bad, readers.walk_rejects)
+    sequence = _rejected(spark, "sequences", rows, line, "l_orderkey", bad, readers.sequence_rejects)
+    return walk.withColumn("kind", F.lit("walk")).unionByName(sequence.withColumn("kind", F.lit("sequence")))
+
+
+@query
+def edge_rejects(spark, d):
+    rows = inputs.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    line = F.concat_ws(" ", "l_partkey", "l_suppkey", "l_quantity")
+    bad = F.concat_ws(" ", "l_partkey", "l_suppkey")
+    return _rejected(spark, "edges", rows, line, "l_orderkey", bad, readers.edge_list_rejects)
+
+
+@query
+def side_rejects(spark, d):
+    rows = inputs.side_information(spark, d)
+    line = F.concat_ws(" ", "node", *vocab.SINGLE, F.array_join(vocab.MULTI, "|"))
+    bad = F.concat_ws(" ", "node", "gds")
+    return _rejected(spark, "side", rows, line, "node", bad, readers.side_information_rejects)
+
+
+@query
+def embedding_rejects(spark, d):
+    rows = inputs.vectors(spark, d)
+    line = F.concat_ws("\t", "id", F.array_join("vector", ","))
+    bad = F.concat_ws("\t", "id", F.lit("1.0,x"))
+    return _rejected(spark, "embeddings", rows, line, "id", bad, readers.embedding_rejects)
+
+
+@query
+def recommendation_line_rejects(spark, d):
+    rows = inputs.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_discount")
+    line = F.concat_ws("\t", "l_partkey", "l_suppkey", "l_discount")
+    bad = F.concat_ws("\t", "l_partkey", "l_suppkey")
+    root = stage_path(spark, "rec")
+    lines = _with_bad_lines(rows.withColumn("value", line), "l_orderkey", bad)
+    lines.write.text(f"{root}/rec_0")
+    return readers.recommendation_rejects(spark, root)
+
+
+@query
+def equal_lines(spark, d):
+    """Sequences and items written twice: every line is one of its own."""
+    path = stage_path(spark, "sequences")
+    lines = inputs.table(spark, d, "lineitem").select(F.concat_ws(" ", "l_partkey", "l_suppkey").alias("value"))
+    lines.unionByName(lines).write.text(path)
+    rows = readers.read_sequences(spark, path)
+    items = inputs.side_information(spark, d)
+    twice = vocab.encode(items.unionByName(items), _vocabulary(items))
+    return rows.agg(
+        F.lit("sequences").alias("kind"), F.count("*").alias("rows"), F.countDistinct("seq_id").alias("ids"), F.sum(F.size("tokens")).alias("tokens")
+    ).unionByName(
+        twice.agg(
+            F.lit("items").alias("kind"), F.count("*").alias("rows"), F.countDistinct("node").alias("ids"), F.sum(F.size("sal_idx")).alias("tokens")
+        )
+    )

@@ -181,6 +181,7 @@ def statements() -> dict[str, str]:
     out |= _similarity_statements()
     out |= _function_statements()
     out |= _file_statements(out)
+    out |= _more_file_statements(out)
     return out
 
 
@@ -516,3 +517,61 @@ def _file_statements(so_far: dict[str, str]) -> dict[str, str]:
             SELECT label AS seg_id, CAST(id AS VARCHAR) AS member_id, dim, round(value, 6) AS value
             FROM ({_UNIT_VECTORS})""",
     }
+
+
+def _more_file_statements(so_far: dict[str, str]) -> dict[str, str]:
+    result = so_far["result_table"]
+    tenth = "CAST({} AS BIGINT) % 10 = 0"
+    inter = _with("inter", "SELECT * FROM inter WHERE " + tenth.format("item_id"))
+    lines = "SELECT l_partkey || ' ' || {} AS value FROM lineitem WHERE l_orderkey % 10 = 0"
+    return {
+        "member_base_partition": """
+            SELECT CAST(c_custkey AS VARCHAR) AS memb_id,
+                   CASE c_nationkey % 3 WHEN 0 THEN '124000000020' WHEN 1 THEN '124000000010'
+                        ELSE 'unknown' END AS gender_cd,
+                   c_mktsegment AS age_group
+            FROM customer WHERE c_custkey % 2 = 0""",
+        "result_table_appended": f"""
+            SELECT r.*, dt FROM ({result}) r,
+                (SELECT unnest(['20260101', '20260102', '20260102']) AS dt)""",
+        "result_table_overwritten": f"""
+            SELECT r.*, dt FROM ({result}) r, (SELECT unnest(['20260101', '20260102']) AS dt)
+            WHERE dt = '20260101' OR score > 0""",
+        "csv_files": so_far["selected_records"],
+        "vector_text_files": """
+            SELECT 'header' AS token, 64 AS dim, CAST(count(*) AS DOUBLE) AS value FROM embeddings
+            UNION ALL
+            SELECT CAST(vec_id AS VARCHAR), unnest(range(64)),
+                   round(CAST(unnest(embedding) AS DOUBLE), 6) FROM embeddings""",
+        "item_vector_files": so_far["attention_export"],
+        "vocabulary_files": so_far["side_vocab"],
+        "few_record_files": _with("selected", "SELECT 3 AS files, count(*) AS records FROM selected"),
+        "drop_exact_items": _with(
+            "records",
+            """SELECT seg_id, item_id, node_id, units AS share_units FROM records
+               WHERE (seg_id, item_id) NOT IN (
+                   SELECT (seg_id, item_id) FROM records GROUP BY seg_id, item_id HAVING count(*) = 2)""",
+        ),
+        "day_keys": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS date_key FROM orders",
+        "log_rejects": f"SELECT member_id || ' ' || item_id || ' much ' || vip AS value FROM ({inter})",
+        "record_rejects": _with(
+            "selected", f"SELECT member_id || ',' || item_id AS value FROM selected WHERE {tenth.format('item_id')}"
+        ),
+        "node_rejects": _with(
+            "nodes",
+            f"SELECT member_id || chr(9) || 'x' || chr(9) || seg_id AS value FROM nodes WHERE {tenth.format('member_id')}",
+        ),
+        "token_line_rejects": f"""
+            SELECT value, kind FROM ({lines.format("'x ' || l_orderkey")}),
+                (SELECT unnest(['walk', 'sequence']) AS kind)""",
+        "edge_rejects": lines.format("l_suppkey"),
+        "side_rejects": "SELECT p_partkey || ' ' || p_partkey AS value FROM part WHERE p_partkey % 10 = 0",
+        "embedding_rejects": "SELECT vec_id || chr(9) || '1.0,x' AS value FROM embeddings WHERE vec_id % 10 = 0",
+        "recommendation_line_rejects": """
+            SELECT l_partkey || chr(9) || l_suppkey AS value FROM lineitem WHERE l_orderkey % 10 = 0""",
+        "equal_lines": """
+            SELECT 'sequences' AS kind, 2 * count(*) AS rows, 2 * count(*) AS ids, 4 * count(*) AS tokens
+            FROM lineitem
+            UNION ALL
+            SELECT 'items', 2 * count(*), count(*), 2 * sum(len(string_split(p_name, ' '))) FROM part""",
+    }
