@@ -1,5 +1,7 @@
+from dataclasses import replace
 import random
 
+import numpy as np
 from conftest import rows
 
 from walkvec.config import Config
@@ -21,8 +23,9 @@ def test_audience_job(spark, tmp_path):
     ).write.partitionBy("statis_date").format("parquet").saveAsTable("job_base")
     cfg = Config(walks_per_node=3, walk_steps=4, vector_size=4, window=2, neighbours_out=3)
     out = str(tmp_path / "out")
+    cfg = replace(cfg, lsh_threshold=1.0, lsh_tables=12, lsh_hashes_per_table=2)
     jobs.run_audience_job(
-        spark, str(tmp_path / "log"), "job_base", "20200101", out, cfg, result_table="job_result"
+        spark, str(tmp_path / "log"), "job_base", "20200101", out, cfg, "job_result", "job_pairs"
     )
     nodes = readers.read_node_index(spark, f"{out}/nodes")
     assert nodes.groupBy("seg_id").count().count() == 2 and nodes.count() == 24
@@ -31,7 +34,17 @@ def test_audience_job(spark, tmp_path):
     named = readers.read_embeddings(spark, f"{out}/embeddings")
     assert named.count() == 24
     result = spark.table("job_result")
-    assert result.count() == 72 and result.where("user1 = user2").count() == 0
+    assert 0 < result.count() <= 72 and result.where("user1 = user2").count() == 0
+    vectors = {r.member_id: (r.seg_id, np.array(r.vector)) for r in named.collect()}
+    pairs = {(r.user1, r.user2) for r in spark.table("job_pairs").collect()}
+    near = {
+        (a, b)
+        for a, (s, x) in vectors.items()
+        for b, (t, y) in vectors.items()
+        if a != b and s == t and np.linalg.norm(x - y) < 1.0
+    }
+    assert pairs <= near and len(pairs) >= 0.9 * len(near)
+    spark.sql("DROP TABLE job_pairs")
     spark.sql("DROP TABLE job_base")
     spark.sql("DROP TABLE job_result")
 

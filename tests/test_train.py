@@ -29,10 +29,9 @@ def _contrast(vectors):
     return float(np.mean(same) - np.mean(other))
 
 
-@pytest.mark.parametrize("estimator", [True, False])
-def test_communities_separate(spark, estimator):
-    cfg = Config(vector_size=8, window=3, iterations=4, learning_rate=0.1 if estimator else 0.02)
-    got = audience.node_vectors(_communities(spark), cfg, estimator).collect()
+def test_communities_separate(spark):
+    cfg = Config(vector_size=8, window=3, iterations=4)
+    got = audience.node_vectors(_communities(spark), cfg).collect()
     assert _contrast(got) > 0.3
 
 
@@ -41,20 +40,20 @@ def test_no_words_gives_an_empty_result(spark):
     assert audience.node_vectors(df, Config()).collect() == []
 
 
-def test_estimator_model_is_saved_and_loaded(spark, tmp_path):
-    from pyspark.ml.feature import Word2VecModel
-
-    sentences = _communities(spark, 20).select(F.col("nodes").alias("tokens"))
-    model = train.fit_estimator(sentences, 4, 2, 0.025, 1, 1, 100, seed=1)
-    model.save(str(tmp_path / "model"))
-    loaded = Word2VecModel.load(str(tmp_path / "model"))
-    assert loaded.getVectors().count() == model.getVectors().count() == 20
-
-
-def test_estimator_refuses_a_model_too_large_for_the_driver(spark, monkeypatch):
-    monkeypatch.setattr(train, "ESTIMATOR_LIMIT", 10)
-    with pytest.raises(ValueError):
-        audience.node_vectors(_communities(spark, 10), Config())
+def test_shards_are_only_layout(spark):
+    tokens = sequences.array_positions(
+        _communities(spark, 30).select(F.col("walk_id").alias("seq_id"), F.col("nodes").alias("tokens"))
+    )
+    ranks = sequences.token_ranks(tokens).persist()
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos").alias("uid")
+    pairs = sequences.skipgram_pairs(tokens, 2).select(uid, "center", "context")
+    got = []
+    for per_shard in (10_000, 60):
+        t = train.Training(size=4, rounds=2, examples_per_shard=per_shard)
+        rows = train.trained_word_vectors(pairs, ranks, t).collect()
+        got.append({r.token: np.array(r.vector) for r in rows})
+    assert set(got[0]) == set(got[1]) == set(range(20))
+    assert all(np.allclose(got[0][k], got[1][k], atol=1e-9) for k in got[0])
 
 
 def _shard(t, weighted=True, rng=np.random.default_rng(0)):
@@ -75,7 +74,10 @@ def test_gradient(weighted):
     shard = _shard(t, weighted)
     start = shard.vec.copy()
     shard.step(0, 2, learn=True)
-    moved = (start - shard.vec) / t.learning_rate
+    assert (shard.vec == start).all()
+    moved = shard.gradient / 2
+    used = {p: sum(list(r).count(p) for r in shard.outs) for p in range(len(start)) if shard.is_context[p]}
+    assert all(shard.uses[p] == n for p, n in used.items())
     widths = shard.widths()
     for i in range(len(start)):
         for j in range(widths[i]):
@@ -96,7 +98,7 @@ def test_loss_falls_and_shards_agree_on_the_rows(spark):
         "item_key string, node bigint, gds_idx bigint, gen_gds_idx bigint, l4_idx bigint, l3_idx bigint,"
         "l2_idx bigint, big_brand_idx bigint, shop_idx bigint, sal_idx array<bigint>",
     )
-    t = train.Training(size=8, epochs=2, batch=20, learning_rate=2.0, examples_per_shard=600)
+    t = train.Training(size=8, epochs=2, rounds=3, batch=20, examples_per_shard=200)
     fit = audience.train_side_vectors(tokens, encoded, 2, t)
     assert fit.examples.select("shard").distinct().count() > 1
     before = train.evaluate(fit.examples, fit.ranks, fit.initial, t).first()

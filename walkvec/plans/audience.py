@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,38 +64,28 @@ def build_walks(trans: DataFrame, cfg: Config, **options) -> DataFrame:
     )
 
 
-def node_vectors(node_walks: DataFrame, cfg: Config, estimator: bool = True) -> DataFrame:
+def node_vectors(node_walks: DataFrame, cfg: Config) -> DataFrame:
     """Vectors (seg_id, node_id, vector) from walks, all segments in one model.
 
-    Words are "segment|node"; walks never leave a segment. ``estimator`` uses
-    Spark's Word2Vec, which refuses a vocabulary too large for the driver;
-    otherwise the parameters are trained as a distributed table.
+    Words are "segment|node"; walks never leave a segment.
     """
     word = F.transform("nodes", lambda n: F.concat_ws("|", "seg_id", n))
-    sentences = node_walks.select(F.col("walk_id").alias("seq_id"), word.alias("tokens"))
-    sentences = sequences.long_enough(sentences)
-    if estimator:
-        words = train.estimator_word_vectors(
-            sentences,
-            cfg.vector_size,
-            window=cfg.window,
-            learning_rate=cfg.learning_rate,
-            iterations=cfg.iterations,
-            min_count=cfg.min_count,
-            max_sentence_length=cfg.max_sentence_length,
-            seed=cfg.seed,
-        )
-    else:
-        sentences = stage(sentences, "sentences")
-        ranks = sequences.token_ranks(sequences.array_positions(sentences), cfg.min_count)
-        uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
-        pairs = sequences.pairs_from_arrays(sentences, cfg.window)
-        training = train.Training(size=cfg.vector_size, epochs=cfg.iterations, seed=cfg.seed)
-        # The configured rate is that of one example, as for the estimator.
-        training = replace(training, learning_rate=cfg.learning_rate * training.batch)
-        words = train.trained_word_vectors(
-            pairs.select(uid.alias("uid"), "center", "context"), stage(ranks, "ranks"), training
-        )
+    # Longer sentences are cut into pieces, which are sentences of their own.
+    most = cfg.max_sentence_length
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(word), F.lit(1)) - 1) / most)),
+        lambda i: F.slice(word, (i * most + 1).cast("int"), most),
+    )
+    sentences = node_walks.select("walk_id", F.posexplode(pieces).alias("piece", "tokens"))
+    sentences = sentences.select(F.concat_ws("|", "walk_id", "piece").alias("seq_id"), "tokens")
+    sentences = stage(sequences.long_enough(sentences), "sentences")
+    ranks = stage(sequences.token_ranks(sequences.array_positions(sentences), cfg.min_count), "ranks")
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
+    pairs = sequences.pairs_from_arrays(sentences, cfg.window)
+    training = train.Training(
+        size=cfg.vector_size, epochs=cfg.iterations, seed=cfg.seed, learning_rate=cfg.learning_rate
+    )
+    words = train.trained_word_vectors(pairs.select(uid.alias("uid"), "center", "context"), ranks, training)
     parts = F.split("token", "[|]")
     return words.select(
         F.get(parts, 0).cast("int").alias("seg_id"),
@@ -104,15 +94,16 @@ def node_vectors(node_walks: DataFrame, cfg: Config, estimator: bool = True) ->
     )
 
 
-def member_vectors(origin: Origin, cfg: Config, estimator: bool = True) -> DataFrame:
+def member_vectors(origin: Origin, cfg: Config) -> DataFrame:
     """Records to graph, walks, vectors and names: (seg_id, member_id, vector)."""
     trans = build_transitions(node_records(origin, cfg), cfg)
-    vectors = node_vectors(build_walks(trans, cfg), cfg, estimator)
+    vectors = node_vectors(build_walks(trans, cfg), cfg)
     return embed.name_vectors(vectors, origin.nodes)
 
 
-def expand_audience(named: DataFrame, cfg: Config, exact: bool = True) -> DataFrame:
-    """Rows of the result table: each member's nearest members of its segment."""
+def expand_audience(named: DataFrame, cfg: Config, exact: bool = False) -> DataFrame:
+    """Rows of the result table: each member's nearest members of its segment, by hashing
+    or, at quadratic cost, exactly."""
     vectors = stage(named.withColumnRenamed("member_id", "id"), "vectors")
     if exact:
         pairs = similar.similar_topk(vectors, cfg.neighbours_out)
@@ -123,6 +114,15 @@ def expand_audience(named: DataFrame, cfg: Config, exact: bool = True) -> DataFr
     return similar.result_rows(similar.scored(pairs))
 
 
+def similar_members(named: DataFrame, cfg: Config) -> DataFrame:
+    """Rows of the result table: pairs of members nearer than ``cfg.lsh_threshold``."""
+    vectors = stage(named.withColumnRenamed("member_id", "id"), "vectors")
+    pairs = similar.similar_pairs(
+        vectors, cfg.vector_size, cfg.lsh_threshold, cfg.lsh_tables, cfg.lsh_hashes_per_table
+    )
+    return similar.result_rows(similar.scored(pairs))
+
+
 @dataclass(frozen=True)
 class SideFit:
     examples: DataFrame

@@ -576,24 +576,25 @@ def _origin(spark, d):
 
 @query
 def member_vectors(spark, d):
-    """The whole job up to named member vectors, with Spark's own estimator."""
-    return audience.member_vectors(_origin(spark, d), replace(CFG, vector_size=32))
+    """The whole job up to named member vectors."""
+    return audience.member_vectors(_origin(spark, d), CFG)
 
 
 @query
 def member_vectors_distributed(spark, d):
-    """The same with the parameters in a distributed table."""
-    cfg = replace(CFG, vector_size=16, iterations=1, window=2)
-    return audience.member_vectors(_origin(spark, d), cfg, estimator=False)
+    """Which members have vectors, their length and norm, after a whole training."""
+    rows = member_vectors(spark, d)
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
+    return rows.select("seg_id", "member_id", F.size("vector").alias("size"), F.round(norm, 6).alias("norm"))
 
 
-TRAINING = train.Training(size=SIZE, epochs=1, batch=100, learning_rate=1.0)
+TRAINING = train.Training(size=SIZE, epochs=1)
 
 
 def _side_training(spark, d):
     tokens = _tokens(spark, d)
     encoded = _encoded(spark, d)
-    return audience.train_side_vectors(tokens, encoded, 1, TRAINING)
+    return audience.train_side_vectors(tokens, encoded, CFG.window, TRAINING)
 
 
 @query

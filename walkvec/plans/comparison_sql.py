@@ -182,6 +182,11 @@ def statements() -> dict[str, str]:
     out |= _function_statements()
     out |= _file_statements(out)
     out |= _more_file_statements(out)
+    out["member_vectors_distributed"] = _with(
+        "edges",
+        """SELECT DISTINCT nodes.seg_id, member_id, 128 AS size, 1.0 AS norm
+           FROM nodes JOIN edges ON edges.seg_id = nodes.seg_id AND edges.src = nodes.node_id""",
+    )
     return out
 
 

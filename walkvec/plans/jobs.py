@@ -14,7 +14,7 @@ from walkvec.config import Config
 from walkvec.operators import embed, sequences, similar, train, vocab
 from walkvec.plans import audience
 from walkvec.sources import readers, writers
-from walkvec.stage import stage
+from walkvec.stage import stage, staging
 
 
 def run_audience_job(
@@ -25,14 +25,30 @@ def run_audience_job(
     out: str,
     cfg: Config | None = None,
     result_table: str | None = None,
-    estimator: bool = True,
+    pairs_table: str | None = None,
 ) -> None:
     """Interaction log to selected records, node index, walks, vectors and similar members.
 
-    All segments are processed together; walks and vectors have one directory per
-    segment. An empty segment simply has none. The session is left to the caller.
+    ``result_table`` gets each member's nearest members, ``pairs_table`` all pairs below
+    the threshold. All segments are processed together; walks and vectors have one
+    directory per segment. An empty segment simply has none. The session is left to the
+    caller; tables staged on the way are removed.
     """
     cfg = cfg or Config()
+    with staging(spark):
+        _audience(spark, log_path, base_table, date, out, cfg, result_table, pairs_table)
+
+
+def _audience(
+    spark: SparkSession,
+    log_path: str,
+    base_table: str,
+    date: str,
+    out: str,
+    cfg: Config,
+    result_table: str | None,
+    pairs_table: str | None,
+) -> None:
     log = readers.read_interaction_log(spark, f"{log_path}/{date}")
     base = readers.read_member_base(spark, base_table, date)
     origin = audience.process_origin(log, base, cfg)
@@ -45,11 +61,13 @@ def run_audience_job(
     walked = stage(audience.build_walks(trans, cfg), "walks")
     writers.write_walks(walked, f"{out}/walks")
 
-    vectors = audience.node_vectors(walked, cfg, estimator)
+    vectors = audience.node_vectors(walked, cfg)
     named = stage(embed.name_vectors(vectors, nodes), "named")
     writers.write_embeddings(named, f"{out}/embeddings")
     if result_table:
         writers.append_result(audience.expand_audience(named, cfg), result_table, date)
+    if pairs_table:
+        writers.append_result(audience.similar_members(named, cfg), pairs_table, date)
 
 
 def load_recommendations(spark: SparkSession, root: str, table: str, date: str) -> None:
@@ -103,14 +121,25 @@ def main() -> None:
     for name in ("log", "base_table", "date", "out"):
         parser.add_argument(name)
     parser.add_argument("--result-table")
+    parser.add_argument("--pairs-table")
+    parser.add_argument("--drop-exact", type=int)
+    parser.add_argument("--segment-labels", nargs="+", default=list(Config.segment_labels))
     for name, default in vars(Config()).items():
         if isinstance(default, (int, float, str)):
             parser.add_argument(f"--{name.replace('_', '-')}", type=type(default), default=default)
     args = vars(parser.parse_args())
-    job = {k: args.pop(k) for k in ("log", "base_table", "date", "out", "result_table")}
+    job = {k: args.pop(k) for k in ("log", "base_table", "date", "out", "result_table", "pairs_table")}
+    args["segment_labels"] = tuple(args["segment_labels"])
     spark = SparkSession.builder.appName("walkvec").getOrCreate()
     run_audience_job(
-        spark, job["log"], job["base_table"], job["date"], job["out"], Config(**args), job["result_table"]
+        spark,
+        job["log"],
+        job["base_table"],
+        job["date"],
+        job["out"],
+        Config(**args),
+        job["result_table"],
+        job["pairs_table"],
     )
 
 
