@@ -7,33 +7,36 @@ The join uses this in two ways:
   of each possible size must share; partners have a subset in common.
 * Heavy sets, beyond the boundary, scan inverted lists. With all elements in one order
   it is enough to list the first n - ceil(s * n) + 1 of each set, since similar sets
-  meet there. The order is by hash, with frequent elements (found from the lists
-  themselves) last, so lists stay short except among sets of frequent elements only.
+  meet there. The order is by hash, with elements that are frequent (as seen in the
+  lists themselves) behind all others, the most frequent ones last; so lists stay short
+  except among sets of frequent elements only. Lists are split by size, as similar sets
+  differ little in size.
 
 The boundary is the size with the least total cost, subsets listed against list
 entries read, both counted on the data. Light sets near the boundary take part in the
 lists as well, for their partners beyond it.
 
 Equal sets are joined once. For components, lists are not expanded into pairs: first
-every set is compared with the least set of each of its lists; then lists that still
-hold more than one component are compared within, in cells of two blocks. A cell
-compares all its sets exactly, by one sparse product in numpy, and returns a spanning
-forest of its links, so that output stays linear in the rows even where a group of
-near copies is large.
+every set is compared with the least set of each of its lists. Lists that then still
+hold more than one component are searched within, in cells of two blocks, by parity
+bitmaps of the sets: the bits in which two bitmaps differ are never more than the
+elements in which the sets do, so only pairs of different components that can still be
+similar come out. All comparisons that count are exact, on whole sets, by one sparse
+product per cell, which returns a spanning forest of the cell's links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walkvec.llm.common import components
+from walkvec.llm.common import components, free_prefix
 from walkvec.llm.textnum import U, chunks, finish, shingle_sets
 from walkvec.operators.cells import cell_members, with_blocks
 from walkvec.stage import stage
@@ -42,8 +45,10 @@ SHINGLE = 5
 PERCENT = 80
 #: Largest size for which the light side is considered; sets up to it are kept whole.
 MOST_LIGHT = 24
-#: Elements in more lists than this come last in the order. Any value gives the same result.
-FREQUENT = 64
+#: Elements listed more often than this come late in the order, up to so many of them, the most
+#: frequent first. The order is a matter of cost alone: any values give the same result.
+FREQUENT = 16
+MOST_FREQUENT = 200_000
 BLOCK = 256
 #: Up to so many ids a filter by id is sent to every task (8 bytes each), beyond that it is a shuffle join.
 BROADCAST_IDS = 2_000_000
@@ -63,6 +68,13 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
 # --- sets -------------------------------------------------------------------
 
 
+def _set_keys(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set, whatever the order of its elements."""
+    sums = [np.concatenate([np.zeros(1, U), np.cumsum(m, dtype=U)]) for m in (finish(h), finish(h ^ _SECOND))]
+    k1, k2 = (finish(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums)
+    return k1, k2
+
+
 def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, whole: bool = False) -> DataFrame:
     """The columns of ``docs`` but text, with n, k1, k2 and elements of each text's set.
 
@@ -80,8 +92,7 @@ def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, wh
             for chunk in chunks(batch.column(len(kept))):
                 h, first = shingle_sets(chunk, shingle)
                 n = np.diff(first)
-                sums = [np.concatenate([np.zeros(1, U), np.cumsum(m, dtype=U)]) for m in (finish(h), finish(h ^ _SECOND))]
-                k1, k2 = (finish(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums)
+                k1, k2 = _set_keys(h, first)
                 take = n if whole else np.where(n <= MOST_LIGHT, n, prefix_length(n, percent))
                 inside = np.arange(len(h)) - np.repeat(first[:-1], n) < np.repeat(take, n)
                 ends = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
@@ -95,27 +106,72 @@ def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, wh
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
 
-def _only(rows: DataFrame, ids: DataFrame, condition, n: int) -> DataFrame:
-    """Semi join; the ids are sent to the tasks only if their number is within the bound."""
-    return rows.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, condition, "left_semi")
-
-
-def _whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(rep, n, elements) of the wanted sets (rep), from the texts of their first rows."""
-    ids = stage(
+def _first_rows(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """What identifies the text of each wanted set (rep): id and set key of its first row."""
+    return stage(
         sets.join(wanted, "rep", "left_semi").select(
             F.col("rep"), F.col("n").alias("_n"), F.col("first_id").alias("_id"), "id_rows", F.col("k1").alias("_k1"), F.col("k2").alias("_k2")
         ),
         "wanted",
     )
-    own = _only(docs, ids.select("_id"), docs.doc_id.eqNullSafe(ids["_id"]), ids.count())
+
+
+def _bounded(table: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(table) if n <= BROADCAST_IDS else table
+
+
+def _whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(rep, n, elements) of the sets that ``ids`` lists."""
+    size = ids.count()
+    own = docs.join(_bounded(ids.select("_id"), size), docs.doc_id.eqNullSafe(ids["_id"]), "left_semi")
     found = shingled(own, shingle, percent, whole=True).select("doc_id", "k1", "k2", "elements")
     same = found.doc_id.eqNullSafe(ids["_id"]) & (found.k1 == ids["_k1"]) & (found.k2 == ids["_k2"])
-    found = found.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, same)
-    found = found.select("rep", F.col("_n").alias("n"), "elements", "id_rows")
+    found = found.join(_bounded(ids, size), same).select("rep", F.col("_n").alias("n"), "elements", "id_rows")
     alone = found.where("id_rows = 1")
     repeated = found.where("id_rows > 1").dropDuplicates(["rep"])
-    return stage(alone.unionByName(repeated).drop("id_rows"), "whole")
+    return alone.unionByName(repeated).drop("id_rows")
+
+
+def _extensions(docs: DataFrame, ids: DataFrame, frequent: pa.Table, shingle: int, percent: int) -> DataFrame:
+    """(element, rep): what sets list beyond the infrequent part of their first elements by hash.
+
+    ``frequent`` (element, level) is a bounded table. Elements are ordered by level, 0
+    for all others, then by hash.
+    """
+    order = np.argsort(frequent["element"].to_numpy().view(U))
+    known = frequent["element"].to_numpy().view(U)[order]
+    levels = frequent["level"].to_numpy()[order]
+    size = ids.count()
+    own = docs.join(_bounded(ids.select("_id"), size), docs.doc_id.eqNullSafe(ids["_id"]), "left_semi")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(1)):
+                h, first = shingle_sets(chunk, shingle)
+                n = np.diff(first)
+                owner = np.repeat(np.arange(len(n)), n)
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                level = np.where(known[at] == h, levels[at], 0)
+                cut = prefix_length(n, percent)[owner]
+                rank = np.arange(len(h)) - first[owner]
+                listed = (level == 0) & (rank < cut)
+                new = np.lexsort((rank, level, owner))
+                new = new[(rank < cut) & ~listed[new]]  # ranks run alike within the owner
+                counts = np.bincount(owner[new], minlength=len(n))
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                k1, k2 = _set_keys(h, first)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[new].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(chunk.first, len(n)), pa.array(k1), pa.array(k2), lists],
+                    names=["doc_id", "k1", "k2", "elements"],
+                )
+
+    found = own.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, k1 bigint, k2 bigint, elements array<bigint>")
+    same = found.doc_id.eqNullSafe(ids["_id"]) & (found.k1 == ids["_k1"]) & (found.k2 == ids["_k2"])
+    found = found.join(_bounded(ids, size), same).select("rep", "elements", "id_rows")
+    found = found.where("id_rows = 1").unionByName(found.where("id_rows > 1").dropDuplicates(["rep"]))
+    return found.select(F.explode("elements").alias("element"), "rep")
 
 
 # --- lists ------------------------------------------------------------------
@@ -136,7 +192,7 @@ def _subsets(light: DataFrame, percent: int) -> DataFrame:
                         continue
                     places = np.array(list(combinations(range(size), take)), np.int64)
                     sums = mixed[places].sum(1, dtype=U)
-                    keys.append(finish(sums + U(larger) * _SECOND).view(np.int64))
+                    keys.append(finish(sums + np.array([larger], U) * _SECOND).view(np.int64))
                     reps.append(np.full(len(sums), rep, np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays(
@@ -147,9 +203,13 @@ def _subsets(light: DataFrame, percent: int) -> DataFrame:
 
 
 def boundary(entries: DataFrame, counts: DataFrame, percent: int) -> int:
-    """The size up to which listing subsets costs less in total than reading lists."""
+    """The size up to which listing subsets costs less in total than reading lists.
+
+    Lists of frequent elements will be left by most of their sets, so they count as short.
+    """
     small = entries.where(F.col("n") <= MOST_LIGHT)
-    read = small.join(counts, "element", "left").groupBy("n").agg(F.sum(F.coalesce("entries", F.lit(1))).alias("read"))
+    length = F.least(F.coalesce("entries", F.lit(1)), F.lit(FREQUENT + 1))
+    read = small.join(counts, "element", "left").groupBy("n").agg(F.sum(length).alias("read"))
     sets = small.groupBy("n").agg(F.countDistinct("rep").alias("sets"))
     gains, best, x = 0, 0, 0
     for size, lists, number in sorted(tuple(r) for r in read.join(sets, "n").collect()):
@@ -164,13 +224,8 @@ def boundary(entries: DataFrame, counts: DataFrame, percent: int) -> int:
     return x
 
 
-def lists_of(
-    docs: DataFrame, sets: DataFrame, prefixes: DataFrame, shingle: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Lists (element, rep) in which any two similar sets meet, and whole sets (rep, n, elements).
-
-    Lists have two entries at least; every set in one is among the whole sets.
-    """
+def lists_of(docs: DataFrame, sets: DataFrame, prefixes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Lists (element, rep, n), of two entries or more, in which any two similar sets meet."""
 
     def firsts(rows: DataFrame, elements) -> DataFrame:
         cut = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
@@ -179,35 +234,38 @@ def lists_of(
     entries = firsts(prefixes, F.col("elements"))
     counts = stage(entries.groupBy("element").agg(F.count("*").alias("entries")).where("entries > 1"), "counts")
     x = boundary(entries, counts, percent)
-    frequent = stage(counts.where(F.col("entries") > FREQUENT).select("element"), "frequent")
-
-    # Sets with a frequent element among their first: order them anew, frequent ones last.
-    late = stage(entries.join(frequent, "element", "left_semi").select("rep").distinct(), "late")
-    reordered = _whole_sets(docs, sets, late, shingle, percent)
-    common = (
-        reordered.select("rep", F.explode("elements").alias("element"))
-        .join(frequent, "element", "left_semi")
-        .groupBy("rep")
-        .agg(F.collect_set("element").alias("common"))  # within one set
-    )
-    ordered = F.concat(F.array_except("elements", "common"), F.array_intersect("elements", "common"))
-    anew = stage(
-        firsts(reordered.join(common, "rep"), ordered).where(F.col("n") >= shared_by(x + 1, percent)).select("element", "rep"),
-        "anew",
-    )
-    # Of the others, entries that no second set can share are left out.
-    met = counts.select("element").unionByName(anew.select("element")).distinct()
-    early = firsts(
-        prefixes.where(F.col("n") >= shared_by(x + 1, percent)).join(late, "rep", "left_anti"), F.col("elements")
+    frequent = (
+        counts.where(F.col("entries") > FREQUENT)
+        .orderBy(F.desc("entries"), "element")
+        .limit(MOST_FREQUENT)
+        .select("element", F.ceil(F.log2("entries")).cast("int").alias("level"))
     )
-    rows = early.select("element", "rep").join(met, "element", "left_semi").unionByName(anew)
+    frequent = stage(frequent, "frequent")
+    marks = F.broadcast(frequent.select("element"))
+
+    # Sets with a frequent element among their first list more, in the order by level.
+    late = stage(entries.join(marks, "element", "left_semi").select("rep").distinct(), "late")
+    large = F.col("n") >= shared_by(x + 1, percent)
+    ids = _first_rows(sets.where(large), late)
+    more = entries.select("element", "rep").limit(0)
+    if not ids.isEmpty():
+        more = stage(_extensions(docs, ids, frequent.toArrow(), shingle, percent), "more")
+    early = entries.where(large).select("element", "rep").join(marks, "element", "left_anti")
+    # Entries that no second set can share are left out.
+    met = counts.select("element").unionByName(more.select("element")).distinct()
+    rows = early.join(met, "element", "left_semi").unionByName(more)
     if x:
         rows = rows.unionByName(_subsets(prefixes.where(F.col("n") <= x), percent))
     rows = stage(rows, "entries")
     several = rows.groupBy("element").agg(F.count("*").alias("entries")).where("entries > 1").select("element")
-    lists = stage(rows.join(several, "element"), "lists")
-    others = lists.select("rep").distinct().join(late, "rep", "left_anti")
-    return lists, reordered.unionByName(_whole_sets(docs, sets, others, shingle, percent))
+    rows = rows.join(several, "element").join(sets.select("rep", "n"), "rep")
+    # Sizes fall into classes in which similar sets are at most one apart: two classes to a list.
+    top = F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / percent) * (1 + 1e-9))).cast("bigint")
+    keyed = rows.select("rep", "n", F.explode(F.array(top, top + 1)).alias("class"), F.col("element").alias("own"))
+    keyed = stage(keyed.select(F.xxhash64("own", "class").alias("element"), "rep", "n"), "keyed")
+    several = keyed.groupBy("element").agg(F.count("*").alias("entries")).where("entries > 1").select("element")
+    lists = stage(keyed.join(several, "element"), "lists")
+    return lists
 
 
 # --- cells ------------------------------------------------------------------
@@ -254,6 +312,98 @@ def forest(reps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
     return links
 
 
+def parity_bitmap(elements: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of elements fall on i; four to eight bits per element.
+
+    Places are low bits of the hash, so halves of a bitmap folded by XOR give the smaller one.
+    """
+    bits = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements.view(U) & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
+
+
+def search_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """(a, b): pairs of a cell, a < b, of different components whose bitmaps let them be similar.
+
+    ``cells`` has the keys, rep, root, n and bitmap.
+    """
+    sorted_cells = cells.select(*keys, "rep", "root", "n", "bitmap").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    count = len(keys)
+
+    def pairs(rows: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+        reps, roots, n = (np.array(x, np.int64) for x in list(zip(*rows))[:3])
+        maps = [np.frombuffer(r[3], U) for r in rows]
+        width = min(len(m) for m in maps)
+        table = np.stack([np.bitwise_xor.reduce(m.reshape(-1, width), 0) for m in maps])
+        out = []
+        for i in range(len(rows) - 1):
+            other = np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
+            most = _most_shared(n[i], n[other], table[i], table[other])
+            other = other[100 * most >= percent * (n[i] + n[other] - most)]
+            out.append((np.full(len(other), reps[i]), reps[other]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows = None, []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            found = []
+            for mark, row in zip(zip(*columns[:count]), zip(*columns[count:])):
+                if mark != current:
+                    if len(rows) > 1:
+                        found += pairs(rows)
+                    current, rows = mark, []
+                if not rows or rows[-1][0] != row[0]:
+                    rows.append(row)
+            yield _pair_batch(found)
+        if len(rows) > 1:
+            yield _pair_batch(pairs(rows))
+
+    return sorted_cells.mapInArrow(run, "a bigint, b bigint")
+
+
+def _most_shared(a: np.ndarray, b: np.ndarray, maps_a: np.ndarray, maps_b: np.ndarray) -> np.ndarray:
+    """At most so many elements are shared by sets of sizes a and b, from bitmaps of equal width."""
+    differ = np.bitwise_count(maps_a ^ maps_b).sum(-1).astype(np.int64)
+    return np.minimum((a + b - differ) // 2, np.minimum(a, b))
+
+
+def near_enough(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, rep) whose bitmaps let them be similar."""
+    own = maps.select("rep", F.col("n").alias("n1"), F.col("bitmap").alias("m1"))
+    other = maps.select(F.col("rep").alias("hub"), F.col("n").alias("n2"), F.col("bitmap").alias("m2"))
+    both = pairs.join(own, "rep").join(other, "hub").select("hub", "rep", "n1", "m1", "n2", "m2")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for _, _, n1, m1, n2, m2 in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = np.frombuffer(m1, U), np.frombuffer(m2, U)
+                width = min(len(a), len(b))
+                a, b = (np.bitwise_xor.reduce(m.reshape(-1, width), 0) for m in (a, b))
+                most = _most_shared(n1, n2, a, b)
+                keep.append(100 * most >= percent * (n1 + n2 - most))
+            yield batch.select(["hub", "rep"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "hub bigint, rep bigint")
+
+
+def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*found) if found else ((), ()))]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["a", "b"])
+
+
+def bitmaps(whole: DataFrame) -> DataFrame:
+    """(rep, n, bitmap) from (rep, n, elements)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [parity_bitmap(e.values.to_numpy()).tobytes() for e in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())], names=["rep", "n", "bitmap"])
+
+    return whole.select("rep", "n", "elements").mapInArrow(run, "rep bigint, n bigint, bitmap binary")
+
+
 def compare_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """(a, b): links among the sets of each cell; ``cells`` has the keys, rep and elements.
 
@@ -321,20 +471,29 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
         equal.join(numbers, F.col("first_id").eqNullSafe(F.col("doc_id"))).drop("doc_id"),
         "sets",
     )
-    of_reps = _only(rows, sets.select("rep"), rows.row == sets.rep, sets.count())
+    of_reps = rows.join(_bounded(sets.select("rep"), sets.count()), rows.row == sets.rep, "left_semi")
     prefixes = of_reps.select(F.col("row").alias("rep"), "n", "elements")
-    lists, whole = lists_of(docs, sets, prefixes, shingle, percent)
-    whole = whole.select("rep", "elements")
-
-    # Every set against the least of each of its lists, in blocks with that one.
-    hubs = lists.groupBy("element").agg(F.min("rep").alias("hub"))
-    near = lists.join(hubs, "element").where("rep <> hub").select("hub", "rep").distinct()
-    near = stage(with_blocks(near, ["hub"], "rep", BLOCK).drop("_blocks"), "near")
-    members = near.unionByName(near.select("hub", F.col("hub").alias("rep"), "_block").distinct())
-    links = stage(compare_cells(members.join(whole, "rep"), ["hub", "_block"], percent), "links")
+    lists = lists_of(docs, sets, prefixes, shingle, percent)
+    listed = _first_rows(sets, lists.select("rep").distinct())
+    maps = stage(bitmaps(_whole_sets(docs, listed, shingle, percent)), "bitmaps")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Links among the pairs (hub, rep), each hub with its partners in blocks."""
+        near = stage(with_blocks(pairs, ["hub"], "rep", BLOCK).drop("_blocks"), "near")
+        members = near.unionByName(near.select("hub", F.col("hub").alias("rep"), "_block").distinct())
+        wanted = _first_rows(sets, members.select("rep").distinct())
+        whole = stage(_whole_sets(docs, wanted, shingle, percent).select("rep", "elements"), "whole")
+        return stage(compare_cells(members.join(whole, "rep"), ["hub", "_block"], percent), "links")
+
+    # Every set against the least of each of its lists.
+    hubs = lists.groupBy("element").agg(F.min("rep").alias("hub"), F.min_by("n", "rep").alias("hub_n"))
+    apart = F.lit(100) * F.least("n", "hub_n") < F.lit(percent) * F.greatest("n", "hub_n")
+    near = lists.join(hubs, "element").where((F.col("rep") != F.col("hub")) & ~apart).select("hub", "rep").distinct()
+    near = stage(near_enough(near, maps, percent), "hubs")
+    links = compared(near)
     known = stage(components(links), "components")
 
-    # Lists with several components, each set of members once, compared within.
+    # Lists with several components, each set of members once, searched within.
     labelled = lists.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "root", F.coalesce("root", "rep")
     )
@@ -352,10 +511,11 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
         .agg(F.min("element").alias("element"))
         .select("element")
     )
-    left = stage(lists.join(several, "element").select("element", "rep"), "unsettled")
+    left = stage(labelled.join(several, "element").select("element", "rep", "root"), "unsettled")
     cells = cell_members(with_blocks(left, ["element"], "rep", BLOCK)).drop("_block")
-    more = compare_cells(cells.join(whole, "rep"), ["element", "_b1", "_b2"], percent)
-    known = stage(components(links.unionByName(more)), "components")
+    found = search_cells(cells.join(maps, "rep"), ["element", "_b1", "_b2"], percent).distinct()
+    found = found.select(F.col("a").alias("hub"), F.col("b").alias("rep")).join(near, ["hub", "rep"], "left_anti")
+    known = stage(components(links.unionByName(compared(found))), "components")
 
     rooted = sets.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "root", F.coalesce("root", "rep")
@@ -402,11 +562,12 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
         .unionByName(bare.distinct().withColumn("_rows", F.lit(1).cast("bigint"))),
         "winners",
     )
-    key = F.md5("text")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & key.eqNullSafe(F.col("_key"))
+    own = free_prefix(docs)
+    winners = winners.toDF(f"{own}id", f"{own}key", f"{own}rows")
+    same = F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & F.md5("text").eqNullSafe(F.col(f"{own}key"))
     stay = docs.join(winners, same)
-    alone = stay.where("_rows = 1").select(*docs.columns)
-    repeated = stay.where("_rows > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    alone = stay.where(F.col(f"{own}rows") == 1).select(*docs.columns)
+    repeated = stay.where(F.col(f"{own}rows") > 1).dropDuplicates([f"{own}id", f"{own}key"]).select(*docs.columns)
     return alone.unionByName(repeated)
 
 
