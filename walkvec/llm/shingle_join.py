@@ -50,8 +50,8 @@ MOST_LIGHT = 24
 FREQUENT = 16
 MOST_FREQUENT = 200_000
 BLOCK = 256
-#: Up to so many ids a filter by id is sent to every task (8 bytes each), beyond that it is a shuffle join.
-BROADCAST_IDS = 2_000_000
+#: Up to so many ids a table of ids is sent to every task (under 100 bytes each), beyond that it is a shuffle join.
+BROADCAST_IDS = 500_000
 
 _SECOND = U(0xA0761D6478BD642F)
 
