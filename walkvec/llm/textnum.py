@@ -1,6 +1,6 @@
 """Words, shingles and byte windows of many texts at once, as numpy arrays.
 
-Texts arrive as Arrow columns. They are handled in chunks of a few MB that hold
+Texts arrive as Arrow columns. They are handled in chunks of half a MB or so that hold
 whole texts (one text at least), so that memory does not follow the size of an
 Arrow batch. A null text counts as an empty one.
 
@@ -61,7 +61,7 @@ class Chunk(NamedTuple):
     offsets: np.ndarray  # where each text starts, and the end
 
 
-def chunks(column: pa.Array, most: int = 2 << 20) -> Iterator[Chunk]:
+def chunks(column: pa.Array, most: int = 1 << 19) -> Iterator[Chunk]:
     """The texts of a column, in chunks of about ``most`` bytes of whole texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
