@@ -259,13 +259,13 @@ def _strings(texts: DataFrame, length: int) -> DataFrame:
 
 def _settle(docs: DataFrame, rows: DataFrame, met: DataFrame, length: int, cell: int) -> DataFrame:
     """(row, start, stop): bytes covered by repeated strings, from the entries that share an anchor."""
-    twice = met.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
-    whole = met.join(twice, "c", "left_semi").select(
+    twice = met.groupBy("g", "c").agg(F.count("*").alias("n")).where("n > 1").select("g", "c")
+    whole = met.join(twice, ["g", "c"], "left_semi").select(
         "row", F.col("lo").alias("start"), (F.col("lo") + F.col("span") + F.lit(length)).alias("stop")
     )
 
     # One run of each content; anchors with several go on to cells.
-    runs = stage(met.dropDuplicates(["c"]), "runs")
+    runs = stage(met.dropDuplicates(["g", "c"]), "runs")
     several = runs.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     lists = runs.join(several, "g").groupBy("row").agg(F.collect_list(F.struct("g", "lo", "span", "off")).alias("runs"))
     cells = stage(_cells(_texts(docs, rows, lists), length, cell).distinct(), "cells")
