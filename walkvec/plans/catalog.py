@@ -607,6 +607,31 @@ def side_training(spark, d):
     return named[0].unionByName(named[1])
 
 
+def _side_start(spark, d):
+    """Examples, ranks and starting parameters of the side training."""
+    tokens, encoded = _tokens(spark, d), _encoded(spark, d)
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos").alias("uid")
+    pairs = sequences.skipgram_pairs(tokens, CFG.window).select(uid, "center", "context")
+    ranks = stage(sequences.token_ranks(tokens), "ranks")
+    references = train.side_references(encoded)
+    examples = train.prepare_examples(pairs, references, ranks, TRAINING)
+    return examples, ranks, train.initial_parameters(references, ranks, TRAINING)
+
+
+@query
+def side_initial_loss(spark, d):
+    """Number of examples, and their mean loss at the starting parameters."""
+    rows = train.evaluate(*_side_start(spark, d), TRAINING)
+    return rows.select("examples", F.round("mean_loss", 6).alias("mean_loss"))
+
+
+@query
+def side_first_round(spark, d):
+    """Every parameter after the first round of training."""
+    params = train.parameter_tables(train.first_round(*_side_start(spark, d), TRAINING))
+    return _components(params.withColumnRenamed("vec", "vector"), "tbl", "row_id")
+
+
 @query
 def side_vectors(spark, d):
     """Trained item vectors."""

@@ -182,6 +182,7 @@ def statements() -> dict[str, str]:
     out |= _function_statements()
     out |= _file_statements(out)
     out |= _more_file_statements(out)
+    out |= _training_statements()
     out["member_vectors_distributed"] = _with(
         "edges",
         """SELECT DISTINCT nodes.seg_id, member_id, 128 AS size, 1.0 AS norm
@@ -320,10 +321,12 @@ _COLD = f"""
     FROM pivoted WHERE {_ADMITTED}"""
 
 
-def _embedding(coded: str, weights: str) -> dict[str, str]:
-    """Weighted sums of hash-initialised vectors of 16 components."""
-    u = _uniform("'42|' || tbl || '|' || row_id || '|' || i")
-    logit = _uniform("'42|attention|' || node || '|' || s")
+def _embedding(coded: str, weights: str, codes: bool = False) -> dict[str, str]:
+    """Weighted sums of hash-initialised vectors of 16 components; with ``codes`` tables
+    are hashed by their number."""
+    number = "CASE tbl " + " ".join(f"WHEN '{f}' THEN '{i}'" for i, f in enumerate(_SLOTS)) + " END"
+    u = _uniform(f"'42|' || {number if codes else 'tbl'} || '|' || row_id || '|' || i")
+    logit = _uniform(f"'42|{8 if codes else 'attention'}|' || node || '|' || s")
     slots = [
         f"SELECT item_key, node, {_SLOTS.index(f)} AS slot, '{f}' AS tbl, {f}_idx AS row_id, 1.0 AS part "
         f"FROM coded WHERE {f}_idx IS NOT NULL"
@@ -580,3 +583,96 @@ def _more_file_statements(so_far: dict[str, str]) -> dict[str, str]:
             UNION ALL
             SELECT 'items', 2 * count(*), count(*), 2 * sum(len(string_split(p_name, ' '))) FROM part""",
     }
+
+
+def _training_statements() -> dict[str, str]:
+    """Loss at the starting parameters, and the parameters after one round, in exact sums."""
+    size = 16
+
+    def normal(i: str) -> str:
+        a = _uniform(f"'42|context|' || rank || '|' || {i} || '|a'")
+        b = _uniform(f"'42|context|' || rank || '|' || {i} || '|b'")
+        z = f"sqrt(-2 * ln(1.0 - {a})) * cos({b} * 2 * pi())"
+        return f"greatest(least({z}, 2.0), -2.0) / sqrt({size}.0)"
+
+    uid = "seq_id || '|' || center_pos || '|' || context_pos"
+
+    def steps(epoch: int, where: str) -> dict[str, str]:
+        drawn = _uniform(f"'42|neg|{epoch}|' || uid || '|' || j")
+        return (
+            {"tokens": _TOKENS, "ranks": _RANKS, "pairs": _pairs(5)}
+            | _encoding()
+            | _embedding(_CODED, "attention", codes=True)
+            | {
+                "total": "SELECT count(*) AS vocab_size FROM ranks",
+                "examples": f"""
+                    SELECT uid, coded.item_key, coded.node, ranks.rank
+                    FROM (SELECT {uid} AS uid, center, context FROM pairs) p
+                    JOIN coded ON coded.node = p.center JOIN ranks ON ranks.token = p.context
+                    WHERE {where}""",
+                "outs": f"""
+                    SELECT uid, item_key, node, 0 AS k, rank FROM examples
+                    UNION ALL
+                    SELECT uid, item_key, node, j, least(
+                        CAST(floor(exp({drawn} * ln(vocab_size + 1))) AS BIGINT) - 1, vocab_size - 1)
+                    FROM examples, total, range(1, 6) r(j)""",
+                "context": f"SELECT rank, i, {normal('i')} AS x FROM ranks, range(0, {size}) r(i)",
+                "item_lists": "SELECT item_key, list(value ORDER BY dim) AS v FROM embedded GROUP BY 1",
+                "context_lists": "SELECT rank, list(x ORDER BY i) AS c FROM context GROUP BY 1",
+                "scored": """
+                    SELECT uid, item_key, node, k, rank,
+                           list_inner_product(v, c)
+                           - ln(5 * ln((rank + 2.0) / (rank + 1.0)) / ln(vocab_size + 1.0)) AS s
+                    FROM outs JOIN item_lists USING (item_key) JOIN context_lists USING (rank), total""",
+            }
+        )
+
+    loss = """
+        SELECT count(DISTINCT uid) AS examples,
+               round(sum(greatest(s, 0) - CASE WHEN k = 0 THEN s ELSE 0 END + ln(1 + exp(-abs(s))))
+                     / count(DISTINCT uid), 6) AS mean_loss
+        FROM scored"""
+    in_round = _uniform("'42|round|0|' || uid")
+    moved = "round(x - coalesce(least(0.025, 1.0 / uses) * g, 0), 6) AS value"
+    round_steps = {
+        "gs": "SELECT *, 1 / (1 + exp(-s)) - CASE WHEN k = 0 THEN 1 ELSE 0 END AS g FROM scored",
+        "by_both": "SELECT item_key, rank, sum(g) AS g, count(*) AS uses FROM gs GROUP BY 1, 2",
+        "context_uses": "SELECT rank, sum(uses) AS uses, sum(g) AS bias FROM by_both GROUP BY 1",
+        "context_g": """
+            SELECT rank, dim AS i, sum(g * value) AS g
+            FROM by_both JOIN embedded USING (item_key) GROUP BY 1, 2""",
+        "item_g": """
+            SELECT item_key, i, sum(g * x) AS g FROM by_both JOIN context USING (rank) GROUP BY 1, 2""",
+        "item_uses": "SELECT item_key, node, count(*) AS uses FROM gs WHERE k = 0 GROUP BY 1, 2",
+        "row_g": """
+            SELECT tbl, row_id, i, sum(w * part * g) AS g
+            FROM slots JOIN weights USING (item_key, slot) JOIN item_g USING (item_key) GROUP BY 1, 2, 3""",
+        "row_uses": """
+            SELECT tbl, row_id, sum(uses) AS uses FROM slots JOIN item_uses USING (item_key) GROUP BY 1, 2""",
+        "alpha_g": """
+            SELECT item_key, slot, sum(part * g * x) AS g
+            FROM slots JOIN item_g USING (item_key) JOIN params USING (tbl, row_id, i) GROUP BY 1, 2""",
+        "logit_g": """
+            SELECT item_key, slot, w * (g - sum(w * g) OVER (PARTITION BY item_key)) AS g
+            FROM alpha_g JOIN weights USING (item_key, slot)""",
+        "logits": f"""
+            SELECT item_key, node, s AS slot, {_uniform("'42|8|' || node || '|' || s")} * 2 - 1 AS x
+            FROM coded, range(0, 8) r(s)""",
+    }
+    parameters = f"""
+        SELECT tbl, row_id, i AS dim, {moved}
+        FROM params LEFT JOIN row_g USING (tbl, row_id, i) LEFT JOIN row_uses USING (tbl, row_id)
+        UNION ALL
+        SELECT 'attention', node, slot, {moved}
+        FROM logits LEFT JOIN logit_g USING (item_key, slot)
+        LEFT JOIN (SELECT item_key, uses FROM item_uses) USING (item_key)
+        UNION ALL
+        SELECT 'context', rank, i, {moved}
+        FROM context LEFT JOIN context_g USING (rank, i) LEFT JOIN context_uses USING (rank)
+        UNION ALL
+        SELECT 'context', rank, {size}, round(-coalesce(least(0.025, 1.0 / uses) * bias, 0), 6)
+        FROM ranks LEFT JOIN context_uses USING (rank)"""
+    return {
+        "side_initial_loss": _with(None, loss, steps(-1, "TRUE")),
+        "side_first_round": _with(None, parameters, steps(0, f"floor({in_round} * 5) = 0") | round_steps),
+    }
