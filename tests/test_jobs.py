@@ -36,7 +36,15 @@ def test_audience_job(spark, tmp_path):
     result = spark.table("job_result")
     assert 0 < result.count() <= 72 and result.where("user1 = user2").count() == 0
     vectors = {r.member_id: (r.seg_id, np.array(r.vector)) for r in named.collect()}
-    pairs = {(r.user1, r.user2) for r in spark.table("job_pairs").collect()}
+    rep = {r.id: r.rep for r in spark.read.parquet(f"{out}/copies").collect()}
+    stored = {(r.user1, r.user2) for r in spark.table("job_pairs").collect()}
+    assert set(rep) == set(vectors) and {m for p in stored for m in p} <= set(rep.values())
+    pairs = {
+        (a, b)
+        for a in vectors
+        for b in vectors
+        if a != b and vectors[a][0] == vectors[b][0] and (rep[a] == rep[b] or (rep[a], rep[b]) in stored)
+    }
     near = {
         (a, b)
         for a, (s, x) in vectors.items()

@@ -114,13 +114,18 @@ def expand_audience(named: DataFrame, cfg: Config, exact: bool = False) -> DataF
     return similar.result_rows(similar.scored(pairs))
 
 
-def similar_members(named: DataFrame, cfg: Config) -> DataFrame:
-    """Rows of the result table: pairs of members nearer than ``cfg.lsh_threshold``."""
+def similar_members(named: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """Members nearer than ``cfg.lsh_threshold``: rows of the result table for distinct
+    vectors, in both orders, and (seg_id, rep, id) for the members that share a vector."""
     vectors = stage(named.withColumnRenamed("member_id", "id"), "vectors")
-    pairs = similar.similar_pairs(
+    found, copies = similar.distinct_pairs(
         vectors, cfg.vector_size, cfg.lsh_threshold, cfg.lsh_tables, cfg.lsh_hashes_per_table
     )
-    return similar.result_rows(similar.scored(pairs))
+    orders = F.explode(
+        F.array(F.struct(F.col("lo").alias("user1"), F.col("hi").alias("user2")), F.struct(F.col("hi").alias("user1"), F.col("lo").alias("user2")))
+    )
+    both = found.select("seg_id", orders.alias("p"), "distance").select("seg_id", "p.*", "distance")
+    return similar.result_rows(similar.scored(both)), copies
 
 
 @dataclass(frozen=True)

@@ -29,8 +29,9 @@ def run_audience_job(
 ) -> None:
     """Interaction log to selected records, node index, walks, vectors and similar members.
 
-    ``result_table`` gets each member's nearest members, ``pairs_table`` all pairs below
-    the threshold. All segments are processed together; walks and vectors have one
+    ``result_table`` gets each member's nearest members, ``pairs_table`` all pairs of
+    distinct vectors below the threshold, with ``copies`` for the members that share one.
+    All segments are processed together; walks and vectors have one
     directory per segment. An empty segment simply has none. The session is left to the
     caller; tables staged on the way are removed.
     """
@@ -67,7 +68,9 @@ def _audience(
     if result_table:
         writers.append_result(audience.expand_audience(named, cfg), result_table, date)
     if pairs_table:
-        writers.append_result(audience.similar_members(named, cfg), pairs_table, date)
+        pairs, copies = audience.similar_members(named, cfg)
+        writers.append_result(pairs, pairs_table, date)
+        writers.write_parquet(copies, f"{out}/copies")
 
 
 def load_recommendations(spark: SparkSession, root: str, table: str, date: str) -> None:
