@@ -90,11 +90,6 @@ def single_walks(trans: DataFrame, length: int, **options) -> DataFrame:
     return random_walks(trans, length - 1, 1, **options)
 
 
-def walk_text(walks: DataFrame) -> DataFrame:
-    """Walks as space-joined text."""
-    return walks.select("seg_id", F.array_join("nodes", " ").alias("value"))
-
-
 def visit_histogram(walks: DataFrame) -> DataFrame:
     """How many vertices are visited how often."""
     visits = (
