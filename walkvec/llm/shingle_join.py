@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walkvec.llm.common import components, free_prefix
+from walkvec.llm.common import components, free_prefix, small_batches
 from walkvec.llm.textnum import U, chunks, finish, shingle_sets
 from walkvec.operators.cells import cell_members, with_blocks
 from walkvec.stage import stage
@@ -451,7 +451,11 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
 
     ``root`` names the component of a set, ``component_id`` is its least doc_id.
     """
-    docs = docs.select("doc_id", "text")
+    with small_batches(docs.sparkSession):
+        return _similar_groups(docs.select("doc_id", "text"), shingle, percent)
+
+
+def _similar_groups(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.md5("text").alias("text_key"), "text"
     )
