@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,22 +37,6 @@ def free_prefix(df: DataFrame) -> str:
     return prefix
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for the tables staged inside.
-
-    Whole texts travel to Python workers and back; a task holds a few batches of them
-    at a time, on both sides.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph (a, b), a != b, as (node, root).
 
