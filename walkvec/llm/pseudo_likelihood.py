@@ -6,8 +6,13 @@ a softmax over groups of words and one within the group. A document's score is t
 of the log-probabilities of all its words, each given both sides.
 
 The vocabulary counts every word of the corpus; the most frequent ones have entries of
-their own, all others share entries by hash. Every document is encoded once and
-written out. Training masks a fixed share of the positions, chosen by hash, in every
+their own, all others share entries by hash. Within a shared entry a word has its share
+of the entry's occurrences in the corpus, so every word has a probability of its own and
+the table of words grows with the corpus. That table stays distributed: documents lie in
+blocks, a block lists each of its rarer words once, and the lists are joined with the
+table.
+
+Every document is encoded once and written out. Training masks a fixed share of the positions, chosen by hash, in every
 document. Documents fall into rounds by a hash of their words; a round sums the
 gradients of all its masked positions at the current parameters, over all tasks, and
 then the parameters move once. So the partitioning does not change the model, up to
@@ -21,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +42,7 @@ ROUNDS = 24
 MASKED = 15  # percent of the positions
 LEARNING_RATE = 0.05
 SLICES = 16
+BLOCK_WORDS = 1 << 21  # words of the documents that share a list of rarer words
 
 _PAD = VOCABULARY  # stands beyond both ends of a text
 _SEED = U(0x5851F42D4C957F2D)
@@ -71,28 +78,89 @@ def encode(hashes: np.ndarray, known: np.ndarray, order: np.ndarray) -> np.ndarr
     return np.where(known[at] == hashes, order[at], shared).astype(np.int16)
 
 
-def encoded(docs: DataFrame, top: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, ids, round): the entries of each document's words as 16-bit numbers."""
+_Held = tuple[pa.Array, list[bytes], np.ndarray, np.ndarray, np.ndarray]
+
+
+def _block(held: list[_Held], number: int) -> pa.RecordBatch:
+    """Rows of documents as one block; its first row has the list of the block's rarer words."""
+    listed, at = np.unique(np.concatenate([rare for *_, rare in held]), return_inverse=True)
+    n = np.concatenate([n for *_, n, _ in held])
+    ends = np.cumsum(n)
+    at = at.astype(np.int32)
+    lists = [listed.view(np.int64).tobytes()] + [None] * (len(n) - 1)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([h[0] for h in held]),
+            pa.array([x for h in held for x in h[1]], pa.binary()),
+            pa.array([at[a:b].tobytes() for a, b in zip(ends - n, ends)], pa.binary()),
+            pa.array(lists, pa.binary()),
+            pa.array(np.full(len(n), number)),
+            pa.array(np.concatenate([h[2] for h in held])),
+        ],
+        names=["doc_id", "ids", "rare", "list", "block", "round"],
+    )
+
+
+def _encoded_schema(docs: DataFrame) -> str:
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return f"doc_id {id_type}, ids binary, rare binary, list binary, block bigint, round int"
+
+
+def encoded(docs: DataFrame, top: np.ndarray, rounds: int = ROUNDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, ids, rare, list, block, round): documents as entries and as rarer words.
+
+    ``ids`` are the entries of a document's words as 16-bit numbers, ``rare`` the places
+    of its words in shared entries in the list of its block, as 32-bit numbers. Block
+    numbers differ from run to run: write the rows out once.
+    """
     sorting = np.argsort(top)
     known, order = top[sorting], sorting.astype(np.int16)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size, held = TaskContext.get().partitionId() << 32, 0, []
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 n = len(chunk.offsets) - 1
                 w = words(chunk, LOWER[chunk.data])
                 ids = encode(w.hashes, known, order)
+                shared = ids >= VOCABULARY - SHARED
                 first = np.concatenate([[0], np.cumsum(np.bincount(w.text, minlength=n))])
                 sums = np.concatenate([np.zeros(1, U), np.cumsum(w.hashes, dtype=U)])
                 mark = finish((sums[first[1:]] - sums[first[:-1]]) ^ _SEED)
                 blobs = [ids[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first, n), pa.array(blobs, pa.binary()), pa.array((mark % U(rounds)).astype(np.int32))],
-                    names=["doc_id", "ids", "round"],
-                )
+                rounds_of = (mark % U(rounds)).astype(np.int32)
+                in_rare = np.bincount(w.text[shared], minlength=n)
+                held.append((batch.column(0).slice(chunk.first, n), blobs, rounds_of, in_rare, w.hashes[shared]))
+                size += len(ids) + n
+                if size >= block_words:
+                    yield _block(held, number)
+                    number, size, held = number + 1, 0, []
+        if held:
+            yield _block(held, number)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, ids binary, round int")
+    return docs.select("doc_id", "text").mapInArrow(run, _encoded_schema(docs))
+
+
+def listed_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(block, place, n): occurrences in the corpus of the words in each block's list, where above 1.
+
+    A word has one row per block however often it occurs there, so no key is hot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                listed = np.frombuffer(blob, np.int64)
+                for a in range(0, len(listed), 1 << 16):
+                    part = listed[a : a + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part), pa.array(np.full(len(part), block)), pa.array(np.arange(a, a + len(part), dtype=np.int32))],
+                        names=["word", "block", "place"],
+                    )
+
+    lists = rows.where(F.col("list").isNotNull()).select("block", "list")
+    listed = lists.mapInArrow(run, "word bigint, block bigint, place int")
+    return listed.join(counts.where("n > 1"), "word").select("block", "place", "n")
 
 
 # --- the network ------------------------------------------------------------
@@ -300,9 +368,17 @@ def entry_counts(counts: DataFrame, top: np.ndarray) -> np.ndarray:
     return out
 
 
-def scores(rows: DataFrame, p: Parameters) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood) from encoded documents."""
+def scores(rows: DataFrame, p: Parameters, frequency: np.ndarray | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, log_likelihood, *keep) from encoded documents.
+
+    Words in shared entries count as their entries, divided by the entries' occurrences
+    if ``frequency`` is given.
+    """
+    less = np.zeros(VOCABULARY)
+    if frequency is not None:
+        less[VOCABULARY - SHARED :] = np.log(np.maximum(frequency[VOCABULARY - SHARED :], 1))
     shipped = rows.sparkSession.sparkContext.broadcast(_flat(p))
+    kept = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep]
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,20 +386,50 @@ def scores(rows: DataFrame, p: Parameters) -> DataFrame:
         for batch in batches:
             for first, blobs in _pieces(batch.column(1)):
                 ids, places, n = _padded(blobs)
-                logs = log_probabilities(own, ids, places) if len(places) else np.zeros(0)
+                logs = log_probabilities(own, ids, places) - less[ids[places]] if len(places) else np.zeros(0)
                 sums = np.concatenate([[0.0], np.cumsum(logs)])
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(np.round(sums[ends] - sums[ends - n], 3))],
-                    names=["doc_id", "n_tokens", "log_likelihood"],
+                    [
+                        batch.column(0).slice(first, len(n)),
+                        pa.array(n),
+                        pa.array(sums[ends] - sums[ends - n]),
+                        *(batch.column(k).slice(first, len(n)) for k in range(2, batch.num_columns)),
+                    ],
+                    names=["doc_id", "n_tokens", "log_likelihood", *keep],
                 )
 
-    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, n_tokens bigint, log_likelihood double")
+    return rows.select("doc_id", "ids", *keep).mapInArrow(
+        run, ", ".join([f"doc_id {id_type}, n_tokens bigint, log_likelihood double", *kept])
+    )
+
+
+def with_own_shares(scored: DataFrame, counted: DataFrame) -> DataFrame:
+    """``scored`` (with ``block``, ``rare``) plus the logarithm of each rarer word's occurrences."""
+    id_type = scored.schema["doc_id"].dataType.simpleString()
+
+    def run(docs: pa.Table, listed: pa.Table) -> pa.Table:
+        blobs = docs.column("rare").to_pylist()
+        at = np.frombuffer(b"".join(blobs), np.int32)
+        logs = np.zeros(at.max(initial=-1) + 1)
+        logs[listed.column("place").to_numpy()] = np.log(listed.column("n").to_numpy())
+        of = np.repeat(np.arange(len(blobs)), [len(b) // 4 for b in blobs])
+        own = np.bincount(of, logs[at], len(blobs))
+        total = docs.column("log_likelihood").to_numpy() + own
+        return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": docs.column("n_tokens"), "log_likelihood": total})
+
+    return (
+        scored.groupBy("block").cogroup(counted.groupBy("block"))
+        .applyInArrow(run, f"doc_id {id_type}, n_tokens bigint, log_likelihood double")
+    )
 
 
 def scored_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Every document with its words, their summed conditional log-probabilities, and the mean.
 
+    A word in a shared entry has the entry's probability times its own share of the entry's
+    occurrences in the corpus.
+
     A null text, and one without words, has score 0 and a null mean. Repeated rows get
     equal scores and count in training as often as they occur; other columns are
     ignored; an empty table gives no rows.
@@ -335,11 +441,12 @@ def scored_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     frequency = entry_counts(counts, top)
     path = stage_path(spark, "encoded")
     encoded(docs, top, rounds).write.partitionBy("round").parquet(path)
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, round int"
+    schema = _encoded_schema(docs)
     if not frequency.sum():
         model = start(frequency)
     else:
         model, _ = train(path, spark, frequency, rounds)
     rows = spark.read.schema(schema).parquet(path)
+    scored = with_own_shares(scores(rows, model, frequency, ("block", "rare")), listed_counts(rows, counts))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    return scores(rows, model).withColumn("mean_log_likelihood", mean)
+    return scored.withColumn("log_likelihood", F.round("log_likelihood", 3)).withColumn("mean_log_likelihood", mean)
