@@ -61,3 +61,8 @@ def test_recall_of_set_pairs(spark, con):
     assert found <= true and abs(len(found) - expected) < 0.1 * len(true)
     more = {(r.user1, r.user2) for r in similar.similar_sets(sets, 0.95, tables=45).collect()}
     assert more <= true and len(more) >= 0.9 * len(true)
+
+
+def test_side_vectors_have_all_components(spark):
+    rows = entry.queries()["side_vectors"](spark, SF).collect()
+    assert rows and {len(r.vector) for r in rows} == {160}

@@ -328,7 +328,7 @@ def evaluation_batches(spark, d):
 
 # --- item vectors -----------------------------------------------------------
 
-SIZE = 16
+SIZE = 16  # as in the SQL; queries without SQL have TRAINING.size
 
 
 def _components(vectors, *keys):
@@ -588,7 +588,8 @@ def member_vectors_distributed(spark, d):
     return rows.select("seg_id", "member_id", F.size("vector").alias("size"), F.round(norm, 6).alias("norm"))
 
 
-TRAINING = train.Training(size=SIZE, epochs=1)
+TRAINING = train.Training(size=160, epochs=1)
+STARTING = train.Training(size=SIZE)
 
 
 def _side_training(spark, d):
@@ -614,21 +615,21 @@ def _side_start(spark, d):
     pairs = sequences.skipgram_pairs(tokens, CFG.window).select(uid, "center", "context")
     ranks = stage(sequences.token_ranks(tokens), "ranks")
     references = train.side_references(encoded)
-    examples = train.prepare_examples(pairs, references, ranks, TRAINING)
-    return examples, ranks, train.initial_parameters(references, ranks, TRAINING)
+    examples = train.prepare_examples(pairs, references, ranks, STARTING)
+    return examples, ranks, train.initial_parameters(references, ranks, STARTING)
 
 
 @query
 def side_initial_loss(spark, d):
     """Number of examples, and their mean loss at the starting parameters."""
-    rows = train.evaluate(*_side_start(spark, d), TRAINING)
+    rows = train.evaluate(*_side_start(spark, d), STARTING)
     return rows.select("examples", F.round("mean_loss", 6).alias("mean_loss"))
 
 
 @query
 def side_first_round(spark, d):
     """Every parameter after the first round of training."""
-    params = train.parameter_tables(train.first_round(*_side_start(spark, d), TRAINING))
+    params = train.parameter_tables(train.first_round(*_side_start(spark, d), STARTING))
     return _components(params.withColumnRenamed("vec", "vector"), "tbl", "row_id")
 
 
@@ -637,7 +638,7 @@ def side_vectors(spark, d):
     """Trained item vectors."""
     fit = _side_training(spark, d)
     tables = train.parameter_tables(fit.params)
-    return embed.export_items(embed.attention_embed(_encoded(spark, d), tables, SIZE))
+    return embed.export_items(embed.attention_embed(_encoded(spark, d), tables, TRAINING.size))
 
 
 # --- more file and table ends -----------------------------------------------
