@@ -82,6 +82,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     are not listed. Each row of ``docs`` gives one row, repeated rows too; equal
     texts are compared once. Empty tables give no rows and no hits.
     """
+    return _judged(docs, items, span, gram, share).drop("key")
+
+
+def _judged(docs: DataFrame, items: DataFrame, span: int, gram: int, share: int) -> DataFrame:
+    """The rows of ``decontaminate`` with ``key``, a hash of the text."""
     key = F.md5(F.coalesce("text", F.lit("")))
     tokens = docs.select("doc_id", key.alias("key"), item_words(F.col("text")).alias("words"))
     prints = with_minima(tokens, span, gram).select(
@@ -151,7 +156,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: i
 
     Verdicts are looked up by text, so rows that share an id do not share a verdict.
     """
-    bad = decontaminate(docs.select("doc_id", "text"), items, span, gram, share)
+    bad = _judged(docs.select("doc_id", "text"), items, span, gram, share)
     bad = bad.where("contaminated").select(F.col("key").alias(f"{free_prefix(docs)}key")).distinct()
     key = F.md5(F.coalesce("text", F.lit("")))
     return docs.join(bad, key == F.col(bad.columns[0]), "left_anti")
