@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from walkvec.llm import (
     decontaminate,
+    hard_negatives,
+    importance,
     link_trust,
     mixing,
+    packing,
     pseudo_likelihood,
     quality_model,
     quality_rules,
@@ -61,6 +64,18 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_coordinate_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digested(packing.packed(table(spark, sf_dir, "documents")))
+
+
 OPERATORS = (
     op1_trigram_secrets,
     op2_entropy_mixing,
@@ -72,6 +87,9 @@ OPERATORS = (
     op8_boosted_quality,
     op9_suffix_family,
     op10_winnowing_decontamination,
+    op11_coordinate_negatives,
+    op12_importance_resampling,
+    op13_vector_packing,
 )
 
 
@@ -84,4 +102,5 @@ def statements() -> dict[str, str]:
         "op3_shingle_join": shingle_join.COMPONENT_SQL,
         "op7_rule_ledger": quality_rules.RULES_SQL,
         "op10_winnowing_decontamination": decontaminate.CONTAMINATION_SQL,
+        "op11_coordinate_negatives": hard_negatives.NEGATIVES_SQL,
     }
