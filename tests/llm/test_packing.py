@@ -8,7 +8,7 @@ import pytest
 from cases import documents, prose
 from tokenizers import Tokenizer as Reference
 
-from walkvec.llm.packing import Limits, Packer, Piece, Tokenizer, digested, filled, packed
+from walkvec.llm.packing import Limits, Packer, Piece, Tokenizer, digested, filled, packed, parts
 
 SPACES = "\t\n\x0b\x0c\r \x85\xa0        　"
 
@@ -22,7 +22,7 @@ def reference():
 def test_ids_equal_the_reference(reference):
     rng = random.Random(3)
     letters = [*map(chr, range(0x30)), *SPACES, *"\x1c\x1f᠎​﻿̀٣", "a", "é", "京", "'s", "'", "𝒳", "<|endoftext|>", "word", "12"]
-    own = Tokenizer(None, remembered=50)
+    own = Tokenizer(None)
     for _ in range(4000):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(9)))
         assert np.frombuffer(own.ids(text), "<u4").tolist() == reference(text), ascii(text)
@@ -30,8 +30,18 @@ def test_ids_equal_the_reference(reference):
 
 def test_long_texts_are_parted(monkeypatch, reference):
     monkeypatch.setattr("walkvec.llm.packing.PIECE", 64)
-    text = prose(random.Random(1), 300) + "\n\n  x   " + "y" * 500
-    assert np.frombuffer(Tokenizer(None).ids(text), "<u4").tolist() == reference(text)
+    rng = random.Random(1)
+    own = Tokenizer(None)
+    for _ in range(200):
+        text = "".join(rng.choice([*SPACES, "<|endoftext|>", "\x1c", "!", "é", *("word", "12") * 20]) for _ in range(rng.randrange(200)))
+        assert "".join(parts(text)) == text and (len(text) < 300 or len(list(parts(text))) > 1)
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == reference(text)
+
+
+@pytest.mark.parametrize("text", ["y" * 300_000, " " * 300_000, "\n" * 300_000 + "x", "!" * 300_000])
+def test_texts_without_a_border(text):
+    ids = np.frombuffer(Tokenizer(None).ids(text), "<u4").tolist()
+    assert Tokenizer(None).encoding.decode(ids) == text
 
 
 def check(rows, limits, sizes):

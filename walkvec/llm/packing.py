@@ -11,9 +11,7 @@ that are nearly full leave the pool. What does not fill up is cut at a power of
 the largest within its tokens, so that nothing is padded at the end either. No rows are shuffled and a task
 depends on its own rows only, so a lost one is done again with the same result.
 
-Tokenizing looks words up: a text parts, without changing its ids, wherever white space
-follows anything else, so each part's ids are found once and kept in a table of
-bounded size.
+Very long texts are tokenized in parts, between a character and the white space that follows it.
 """
 
 from __future__ import annotations
@@ -21,7 +19,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -34,10 +31,8 @@ from walkvec.llm.textnum import chunks
 
 END = 1
 #: Pieces that wait in a task at most.
-POOL = 2_048
-#: Parts of texts whose ids a worker remembers.
-REMEMBERED = 250_000
-#: Texts of so many characters are parted piece by piece.
+POOL = 1_024
+#: Longer texts are tokenized in parts of about so many characters.
 PIECE = 1 << 20
 #: Sequence numbers of a task begin at its number times this.
 _SEQUENCES = 1 << 33
@@ -60,13 +55,14 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = {"<|endoftext|>": 50256}
 
-PARTS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: A text parts here without changing its ids: white space never ends a piece of the pattern that begins otherwise.
+BORDER = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 
 
 class Tokenizer:
     """Ids of texts, as unsigned little-endian 32-bit numbers."""
 
-    def __init__(self, path: str | None, remembered: int = REMEMBERED):
+    def __init__(self, path: str | None):
         import tiktoken
 
         if path is None:
@@ -76,27 +72,21 @@ class Tokenizer:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-        self.known: dict[str, bytes] = {}
-        self.remembered = remembered
 
     def ids(self, text: str) -> bytes:
-        if len(text) < PIECE:
-            return self._joined(PARTS.findall(text))
-        out, matches = [], PARTS.finditer(text)
-        while parts := [m[0] for m in islice(matches, PIECE // 8)]:
-            out.append(self._joined(parts))
-        return b"".join(out)
-
-    def _joined(self, parts: list[str]) -> bytes:
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        for part in set(parts).difference(self.known):
-            if any(s in part for s in SPECIAL):
-                ids = self.encoding.encode(part, allowed_special="all")
-            else:
-                ids = self.encoding.encode_ordinary(part)
-            self.known[part] = np.array(ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, parts))
+        return b"".join(self._ids(part) for part in parts(text))
+
+    def _ids(self, text: str) -> bytes:
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+
+
+def parts(text: str) -> Iterator[str]:
+    """The text in pieces of about ``PIECE`` characters whose ids, one after another, are the text's."""
+    at = 0
+    while len(text) - at > PIECE and (cut := BORDER.search(text, at + PIECE)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 _tokenizers: dict[str | None, Tokenizer] = {}
@@ -141,23 +131,24 @@ class Piece(NamedTuple):
 def filled(demand: np.ndarray, limits: Limits) -> list[list[int]]:
     """Rows of ``demand`` (tokens, segments, loss) by sequence, one sequence after another."""
     limit = np.array(limits[:3], float)
-    value = demand / limit
-    value = value * value.mean(0)
-    left = np.ones(len(demand), bool)
+    demand = np.ascontiguousarray(demand.T)
+    value = demand / limit[:, None]
+    value *= value.mean(1)[:, None]
+    left = np.ones(demand.shape[1], bool)
     out = []
     while len(at := np.flatnonzero(left)):
         room, own = limit.copy(), []
-        d, v = demand[at], value[at]
+        d, v = demand[:, at], value[:, at]
         while True:
-            fits = (d <= room).all(1)
+            fits = (d[0] <= room[0]) & (d[1] <= room[1]) & (d[2] <= room[2])
             if not fits.all():
-                d, v, at = d[fits], v[fits], at[fits]
+                d, v, at = d[:, fits], v[:, fits], at[fits]
             if not len(at):
                 break
-            best = int(np.argmax(v @ (room / limit)))
+            best = int(np.argmax((room / limit) @ v))
             own.append(int(at[best]))
-            room -= d[best]
-            d[best] = limit + 1  # taken
+            room -= d[:, best]
+            d[0, best] = limit[0] + 1  # taken
         left[own] = False
         out.append(own)
     return out
