@@ -11,7 +11,7 @@ from walkvec.operators import similar
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
     "selected_records", "node_index", "user_graph", "transitions", "walks_weighted", "skipgram_pairs",
-    "side_encode", "similar_topk", "result_table",
+    "side_encode", "similar_topk", "result_table", "huffman_codes",
 )
 
 

@@ -37,6 +37,7 @@ class Config:
     iterations: int = 2
     min_count: int = 1
     max_sentence_length: int = 1000
+    softmax: str = "tree"  # tree (hierarchical) | negatives (sampled)
     # similarity
     lsh_tables: int = 10
     lsh_hashes_per_table: int = 4

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walkvec.config import Config
-from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, walks
+from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, tree_softmax, walks
 from walkvec.stage import stage
 
 
@@ -82,10 +82,12 @@ def node_vectors(node_walks: DataFrame, cfg: Config) -> DataFrame:
     ranks = stage(sequences.token_ranks(sequences.array_positions(sentences), cfg.min_count), "ranks")
     uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos")
     pairs = sequences.pairs_from_arrays(sentences, cfg.window)
-    training = train.Training(
-        size=cfg.vector_size, epochs=cfg.iterations, seed=cfg.seed, learning_rate=cfg.learning_rate
-    )
-    words = train.trained_word_vectors(pairs.select(uid.alias("uid"), "center", "context"), ranks, training)
+    pairs = pairs.select(uid.alias("uid"), "center", "context")
+    shared = {"size": cfg.vector_size, "epochs": cfg.iterations, "seed": cfg.seed, "learning_rate": cfg.learning_rate}
+    if cfg.softmax == "tree":
+        words = tree_softmax.trained_tree_vectors(pairs, ranks, tree_softmax.TreeTraining(**shared))
+    else:
+        words = train.trained_word_vectors(pairs, ranks, train.Training(**shared))
     parts = F.split("token", "[|]")
     return words.select(
         F.get(parts, 0).cast("int").alias("seg_id"),

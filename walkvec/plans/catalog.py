@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walkvec.functions import scalar, sql_functions
-from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, vocab, walks
+from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, tree_softmax, vocab, walks
 from walkvec.plans import audience, inputs
 from walkvec.sources import readers, writers
 from walkvec.stage import stage, stage_path
@@ -224,6 +224,15 @@ def token_ranks(spark, d):
     return sequences.token_ranks(_tokens(spark, d))
 
 
+@query
+def huffman_codes(spark, d):
+    """Each token's code and inner nodes in the tree of the hierarchical softmax."""
+    codes = tree_softmax.tree_codes(stage(sequences.token_ranks(_tokens(spark, d)), "ranks"))
+    return codes.select(
+        "token", "n", "rank", F.array_join(F.col("code").cast("array<string>"), "").alias("code"), F.array_join(F.col("path").cast("array<string>"), ",").alias("path")
+    )
+
+
 @query
 def negatives(spark, d):
     tokens = _tokens(spark, d)

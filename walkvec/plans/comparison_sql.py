@@ -213,6 +213,41 @@ _RANKS = """
     FROM tokens GROUP BY token"""
 
 
+# Two nodes at a time from two queues, rarest first, leaves before merged nodes of equal weight.
+# Nodes are numbered: leaves from 0, then inner nodes in the order in which they are made.
+_MERGING = {
+    "leaves": "SELECT list(n ORDER BY n, token DESC) AS lw, count(*) AS v FROM ranks",
+    "merging": """
+        SELECT 0 AS made, 0 AS i, 0 AS h, []::BIGINT[] AS mw, NULL::BIGINT AS c0, NULL::BIGINT AS c1
+        UNION ALL
+        SELECT made + 1, i2, h2, list_append(mw, w0 + w1), c0, c1
+        FROM (
+            SELECT *, i1 + CASE WHEN leaf1 THEN 1 ELSE 0 END AS i2, h1 + CASE WHEN leaf1 THEN 0 ELSE 1 END AS h2,
+                   CASE WHEN leaf1 THEN lw[i1 + 1] ELSE mw[h1 + 1] END AS w1,
+                   CASE WHEN leaf1 THEN i1 ELSE v + h1 END AS c1
+            FROM (
+                SELECT *, h1 >= len(mw) OR (i1 < v AND lw[i1 + 1] <= mw[h1 + 1]) AS leaf1
+                FROM (
+                    SELECT *, i + CASE WHEN leaf0 THEN 1 ELSE 0 END AS i1, h + CASE WHEN leaf0 THEN 0 ELSE 1 END AS h1,
+                           CASE WHEN leaf0 THEN lw[i + 1] ELSE mw[h + 1] END AS w0,
+                           CASE WHEN leaf0 THEN i ELSE v + h END AS c0
+                    FROM (
+                        SELECT made, i, h, mw, lw, v, h >= len(mw) OR (i < v AND lw[i + 1] <= mw[h + 1]) AS leaf0
+                        FROM merging, leaves WHERE made < v - 1))))""",
+    "children": """
+        SELECT c0 AS child, made - 1 AS parent, '0' AS bit FROM merging WHERE made > 0
+        UNION ALL SELECT c1, made - 1, '1' FROM merging WHERE made > 0""",
+    "climbing": """
+        SELECT v - 1 - rank AS leaf, v - 1 - rank AS node, '' AS code, '' AS path FROM ranks, leaves
+        UNION ALL
+        SELECT leaf, v + parent, bit || code, parent || CASE WHEN path = '' THEN '' ELSE ',' || path END
+        FROM climbing, leaves, children WHERE child = node""",
+}
+_CODES = """
+    SELECT token, n, rank, code, path FROM ranks, leaves, climbing
+    WHERE leaf = v - 1 - rank AND node = CASE WHEN v = 1 THEN 0 ELSE 2 * v - 2 END"""
+
+
 def _batched(source: str, order: str, epochs: int) -> dict[str, str]:
     return {
         "indexed": f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS idx FROM {source}",
@@ -243,6 +278,7 @@ def _sequence_statements() -> dict[str, str]:
                CAST(unnest(string_split(nodes, ' ')) AS BIGINT) AS token FROM ({body})"""
     out["walk_pairs"] = _with("strongest", _pairs(5, "walked"), extra, recursive=True)
     out["token_ranks"] = _with(None, _RANKS, tokens)
+    out["huffman_codes"] = _with(None, _CODES, tokens | {"ranks": _RANKS} | _MERGING, recursive=True)
     u = _uniform(f"'42|' || {_PAIR_KEY} || '|' || draw")
     out["negatives"] = _with(
         None,
