@@ -17,12 +17,13 @@ entries read, both counted on the data. Light sets near the boundary take part i
 lists as well, for their partners beyond it.
 
 Equal sets are joined once. For components, lists are not expanded into pairs: first
-every set is compared with the least set of each of its lists. Lists that then still
-hold more than one component are searched within, in cells of two blocks, by parity
-bitmaps of the sets: the bits in which two bitmaps differ are never more than the
-elements in which the sets do, so only pairs of different components that can still be
-similar come out. All comparisons that count are exact, on whole sets, by one sparse
-product per cell, which returns a spanning forest of the cell's links.
+every set is compared with the least set of each of its lists, then with some members,
+of other components, of a long list. Lists that still hold more than one component are searched within, in
+cells of two blocks, by parity bitmaps of the sets: the bits in which two bitmaps
+differ are never more than the elements in which the sets do, so only sets that can
+still be similar to one of another component come out. All comparisons that count are
+exact, on whole sets, by one sparse product per cell, which returns a spanning forest of
+the cell's links: no step returns pairs by the square of a group.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ MOST_LIGHT = 24
 FREQUENT = 16
 MOST_FREQUENT = 200_000
 BLOCK = 256
+#: Members of a long list that its sets are compared with before the list is searched; a matter of cost alone.
+HUBS = 16
 #: Up to so many ids a table of ids is sent to every task (under 100 bytes each), beyond that it is a shuffle join.
 BROADCAST_IDS = 500_000
 
@@ -75,15 +78,19 @@ def _set_keys(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k1, k2
 
 
-def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, whole: bool = False) -> DataFrame:
+def shingled(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, whole: bool = False, bitmap: bool = False
+) -> DataFrame:
     """The columns of ``docs`` but text, with n, k1, k2 and elements of each text's set.
 
     (k1, k2) identify the set. ``elements`` are hashes in the common order: the prefix,
-    or the whole set if it is light or ``whole`` is asked for.
+    or the whole set if it is light or ``whole`` is asked for. With ``bitmap`` the parity
+    bitmap of the whole set takes their place.
     """
     kept = [c for c in docs.columns if c != "text"]
     fields = [f for f in docs.schema.fields if f.name != "text"]
-    added = "n bigint, k1 bigint, k2 bigint, elements array<bigint>"
+    last = ("bitmap", "binary") if bitmap else ("elements", "array<bigint>")
+    added = f"n bigint, k1 bigint, k2 bigint, {' '.join(last)}"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,15 +100,16 @@ def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, wh
                 h, first = shingle_sets(chunk, shingle)
                 n = np.diff(first)
                 k1, k2 = _set_keys(h, first)
+                rows = [c.slice(chunk.first, len(n)) for c in own] + [pa.array(n.astype(np.int64)), pa.array(k1), pa.array(k2)]
+                if bitmap:
+                    maps = [parity_bitmap(h[a:b]).tobytes() for a, b in zip(first[:-1], first[1:])]
+                    yield pa.RecordBatch.from_arrays([*rows, pa.array(maps, pa.binary())], names=[*kept, "n", "k1", "k2", "bitmap"])
+                    continue
                 take = n if whole else np.where(n <= MOST_LIGHT, n, prefix_length(n, percent))
                 inside = np.arange(len(h)) - np.repeat(first[:-1], n) < np.repeat(take, n)
                 ends = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[inside].view(np.int64)))
-                rows = [c.slice(chunk.first, len(n)) for c in own]
-                yield pa.RecordBatch.from_arrays(
-                    [*rows, pa.array(n.astype(np.int64)), pa.array(k1), pa.array(k2), lists],
-                    names=[*kept, "n", "k1", "k2", "elements"],
-                )
+                yield pa.RecordBatch.from_arrays([*rows, lists], names=[*kept, "n", "k1", "k2", "elements"])
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
@@ -120,13 +128,14 @@ def _bounded(table: DataFrame, n: int) -> DataFrame:
     return F.broadcast(table) if n <= BROADCAST_IDS else table
 
 
-def _whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(rep, n, elements) of the sets that ``ids`` lists."""
+def _whole_sets(docs: DataFrame, ids: DataFrame, shingle: int, percent: int, bitmap: bool = False) -> DataFrame:
+    """(rep, n, elements) of the sets that ``ids`` lists, or (rep, n, bitmap)."""
+    last = "bitmap" if bitmap else "elements"
     size = ids.count()
     own = docs.join(_bounded(ids.select("_id"), size), docs.doc_id.eqNullSafe(ids["_id"]), "left_semi")
-    found = shingled(own, shingle, percent, whole=True).select("doc_id", "k1", "k2", "elements")
+    found = shingled(own, shingle, percent, True, bitmap).select("doc_id", "k1", "k2", last)
     same = found.doc_id.eqNullSafe(ids["_id"]) & (found.k1 == ids["_k1"]) & (found.k2 == ids["_k2"])
-    found = found.join(_bounded(ids, size), same).select("rep", F.col("_n").alias("n"), "elements", "id_rows")
+    found = found.join(_bounded(ids, size), same).select("rep", F.col("_n").alias("n"), last, "id_rows")
     alone = found.where("id_rows = 1")
     repeated = found.where("id_rows > 1").dropDuplicates(["rep"])
     return alone.unionByName(repeated).drop("id_rows")
@@ -271,8 +280,14 @@ def lists_of(docs: DataFrame, sets: DataFrame, prefixes: DataFrame, shingle: int
 # --- cells ------------------------------------------------------------------
 
 
-def forest(reps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the similar sets among the given ones, compared exactly."""
+def forest(
+    reps: np.ndarray, sets: list[np.ndarray], percent: int, roots: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links between similar sets, compared exactly, that join what ``roots`` tells apart, none more than needed.
+
+    Without roots every set is a component of its own.
+    """
+    roots = reps if roots is None else roots
     m = len(reps)
     sizes = np.array([len(s) for s in sets], np.int64)
     if m == 2:
@@ -296,19 +311,22 @@ def forest(reps: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
     overlap = overlap.astype(np.int64)
     close = 100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap)
     np.fill_diagonal(close, False)
+    names, of = np.unique(roots, return_inverse=True)
+    i, j = np.nonzero(np.triu(close & (of[:, None] != of[None, :])))
+    _, first = np.unique(np.minimum(of[i], of[j]) * len(names) + np.maximum(of[i], of[j]), return_index=True)
+    parent = list(range(len(names)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     links: list[tuple[int, int]] = []
-    seen = np.zeros(m, bool)
-    for root in range(m):
-        if seen[root]:
-            continue
-        seen[root] = True
-        todo = [root]
-        while todo:
-            i = todo.pop()
-            new = np.flatnonzero(close[i] & ~seen)
-            seen[new] = True
-            todo.extend(new.tolist())
-            links.extend((int(reps[i]), int(reps[j])) for j in new)
+    for k in first:
+        x, y = top(int(of[i[k]])), top(int(of[j[k]]))
+        if x != y:
+            parent[y] = x
+            links.append((int(reps[i[k]]), int(reps[j[k]])))
     return links
 
 
@@ -323,43 +341,61 @@ def parity_bitmap(elements: np.ndarray) -> np.ndarray:
 
 
 def search_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """(a, b): pairs of a cell, a < b, of different components whose bitmaps let them be similar.
+    """(keys, rep, root): members of a cell with a member of another component whose bitmaps let them be similar.
 
-    ``cells`` has the keys, rep, root, n and bitmap.
+    ``cells`` has the keys, rep, root, n and bitmap. What comes out of a cell is bounded
+    by its members, however many of their pairs are possible.
     """
     sorted_cells = cells.select(*keys, "rep", "root", "n", "bitmap").repartition(*keys).sortWithinPartitions(*keys, "rep")
     count = len(keys)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sorted_cells.schema.fields[: count + 2])
 
-    def pairs(rows: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def marked(rows: list[tuple]) -> list[tuple[int, int]]:
         reps, roots, n = (np.array(x, np.int64) for x in list(zip(*rows))[:3])
+        if (roots == roots[0]).all():
+            return []
         maps = [np.frombuffer(r[3], U) for r in rows]
         width = min(len(m) for m in maps)
         table = np.stack([np.bitwise_xor.reduce(m.reshape(-1, width), 0) for m in maps])
-        out = []
+        near = np.zeros(len(rows), bool)
         for i in range(len(rows) - 1):
             other = np.flatnonzero(roots[i + 1 :] != roots[i]) + i + 1
             most = _most_shared(n[i], n[other], table[i], table[other])
             other = other[100 * most >= percent * (n[i] + n[other] - most)]
-            out.append((np.full(len(other), reps[i]), reps[other]))
-        return out
+            near[other] = True
+            near[i] |= len(other) > 0
+        return list(zip(reps[near].tolist(), roots[near].tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
+        found: list[tuple] = []
+
+        def close() -> None:
+            if len(rows) > 1:
+                found.extend((*current, *own) for own in marked(rows))
+
+        def batch_of() -> pa.RecordBatch:
+            columns = list(zip(*found)) or [()] * (count + 2)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[*keys, "rep", "root"])
+
+        types: list[pa.DataType] = []
         for batch in batches:
+            types = types or [c.type for c in batch.columns[: count + 2]]
             columns = [c.to_pylist() for c in batch.columns]
-            found = []
             for mark, row in zip(zip(*columns[:count]), zip(*columns[count:])):
                 if mark != current:
-                    if len(rows) > 1:
-                        found += pairs(rows)
+                    close()
                     current, rows = mark, []
                 if not rows or rows[-1][0] != row[0]:
                     rows.append(row)
-            yield _pair_batch(found)
-        if len(rows) > 1:
-            yield _pair_batch(pairs(rows))
+            if found:
+                yield batch_of()
+        close()
+        if found:
+            yield batch_of()
 
-    return sorted_cells.mapInArrow(run, "a bigint, b bigint")
+    return sorted_cells.mapInArrow(run, schema)
 
 
 def _most_shared(a: np.ndarray, b: np.ndarray, maps_a: np.ndarray, maps_b: np.ndarray) -> np.ndarray:
@@ -388,50 +424,35 @@ def near_enough(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "hub bigint, rep bigint")
 
 
-def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*found) if found else ((), ()))]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["a", "b"])
-
-
-def bitmaps(whole: DataFrame) -> DataFrame:
-    """(rep, n, bitmap) from (rep, n, elements)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            maps = [parity_bitmap(e.values.to_numpy()).tobytes() for e in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())], names=["rep", "n", "bitmap"])
-
-    return whole.select("rep", "n", "elements").mapInArrow(run, "rep bigint, n bigint, bitmap binary")
-
-
 def compare_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """(a, b): links among the sets of each cell; ``cells`` has the keys, rep and elements.
+    """(a, b): links among the sets of each cell that join different roots; ``cells`` has the keys, rep, root and elements.
 
     Rows are shuffled and sorted by cell and streamed, so that many small cells cost
     no call each; one cell is held at a time, two blocks of sets at most.
     """
-    sorted_cells = cells.select(*keys, "rep", "elements").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    sorted_cells = cells.select(*keys, "rep", "root", "elements").repartition(*keys).sortWithinPartitions(*keys, "rep")
     count = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, reps, sets, links = None, [], [], []
+        current, reps, roots, sets, links = None, [], [], [], []
 
         def close() -> None:
             if len(reps) > 1:
-                links.extend(forest(np.array(reps), sets, percent))
+                links.extend(forest(np.array(reps), sets, percent, np.array(roots)))
 
         for batch in batches:
             marks = list(zip(*(batch.column(i).to_pylist() for i in range(count))))
-            ids = batch.column(count).to_pylist()
-            column = batch.column(count + 1)
+            ids, own = batch.column(count).to_pylist(), batch.column(count + 1).to_pylist()
+            column = batch.column(count + 2)
             offsets = column.offsets.to_numpy()
             values = column.values.to_numpy(zero_copy_only=False)
             for i, mark in enumerate(marks):
                 if mark != current:
                     close()
-                    current, reps, sets = mark, [], []
+                    current, reps, roots, sets = mark, [], [], []
                 if not reps or reps[-1] != ids[i]:
                     reps.append(ids[i])
+                    roots.append(own[i])
                     sets.append(values[offsets[i] : offsets[i + 1]].copy())
             if len(links) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
@@ -446,6 +467,42 @@ def compare_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
 # --- the join ---------------------------------------------------------------
 
 
+def _unsettled(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """(element, rep, root) of the lists with several components, each set of members once."""
+    labelled = lists.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    several = (
+        labelled.groupBy("element")
+        .agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.count("*").alias("entries"),
+            F.bit_xor(F.xxhash64("rep")).alias("x1"),
+            F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"),
+        )
+        .where("low < high")
+        .groupBy("entries", "x1", "x2")
+        .agg(F.min("element").alias("element"))
+        .select("element")
+    )
+    return stage(labelled.join(several, "element").select("element", "rep", "root"), "unsettled")
+
+
+def _random_pairs(left: DataFrame) -> DataFrame:
+    """(hub, rep): each set with ``HUBS`` members, of other components, of one of its longest lists.
+
+    Most of a group of copies is one component by now, and one of these members is likely
+    to link the set to it. This settles most lists and decides nothing else.
+    """
+    drawn = [F.min_by(F.struct("rep", "root"), F.xxhash64(F.lit(i), "rep")) for i in range(HUBS)]
+    hubs = left.groupBy("element").agg(F.count("*").alias("entries"), F.array_distinct(F.array(*drawn)).alias("hubs"))
+    long = left.join(hubs.where(F.col("entries") > 2 * HUBS).select("element", "entries"), "element")
+    chosen = long.groupBy("rep", "root").agg(F.max_by("element", F.struct("entries", "element")).alias("element"))
+    pairs = chosen.join(hubs, "element").select(
+        "rep", F.explode(F.filter("hubs", lambda h: h["root"] != F.col("root"))["rep"]).alias("hub")
+    )
+    return pairs.select("hub", "rep").distinct()
+
+
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, text_key, n, k1, k2) and sets (k1, k2, root, component_id).
 
@@ -475,47 +532,41 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     prefixes = of_reps.select(F.col("row").alias("rep"), "n", "elements")
     lists = lists_of(docs, sets, prefixes, shingle, percent)
     listed = _first_rows(sets, lists.select("rep").distinct())
-    maps = stage(bitmaps(_whole_sets(docs, listed, shingle, percent)), "bitmaps")
+    # One Python worker a task: sets become bitmaps where they are made.
+    maps = stage(_whole_sets(docs, listed, shingle, percent, bitmap=True), "bitmaps")
+
+    def linked(cells: DataFrame, keys: list[str]) -> DataFrame:
+        """Links of the similar sets in each cell, as many as its roots need."""
+        wanted = _first_rows(sets, cells.select("rep").distinct())
+        whole = stage(_whole_sets(docs, wanted, shingle, percent).select("rep", "elements"), "whole")
+        return stage(compare_cells(cells.join(whole, "rep"), keys, percent), "links")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (hub, rep), each hub with its partners in blocks."""
-        near = stage(with_blocks(pairs, ["hub"], "rep", BLOCK).drop("_blocks"), "near")
+        near = stage(with_blocks(near_enough(pairs, maps, percent), ["hub"], "rep", BLOCK).drop("_blocks"), "near")
         members = near.unionByName(near.select("hub", F.col("hub").alias("rep"), "_block").distinct())
-        wanted = _first_rows(sets, members.select("rep").distinct())
-        whole = stage(_whole_sets(docs, wanted, shingle, percent).select("rep", "elements"), "whole")
-        return stage(compare_cells(members.join(whole, "rep"), ["hub", "_block"], percent), "links")
+        return linked(members.withColumn("root", F.col("rep")), ["hub", "_block"])
 
     # Every set against the least of each of its lists.
     hubs = lists.groupBy("element").agg(F.min("rep").alias("hub"), F.min_by("n", "rep").alias("hub_n"))
     apart = F.lit(100) * F.least("n", "hub_n") < F.lit(percent) * F.greatest("n", "hub_n")
     near = lists.join(hubs, "element").where((F.col("rep") != F.col("hub")) & ~apart).select("hub", "rep").distinct()
-    near = stage(near_enough(near, maps, percent), "hubs")
-    links = compared(near)
+    links = compared(stage(near, "hubs"))
     known = stage(components(links), "components")
 
-    # Lists with several components, each set of members once, searched within.
-    labelled = lists.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "root", F.coalesce("root", "rep")
-    )
-    several = (
-        labelled.groupBy("element")
-        .agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.count("*").alias("entries"),
-            F.bit_xor(F.xxhash64("rep")).alias("x1"),
-            F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"),
-        )
-        .where("low < high")
-        .groupBy("entries", "x1", "x2")
-        .agg(F.min("element").alias("element"))
-        .select("element")
-    )
-    left = stage(labelled.join(several, "element").select("element", "rep", "root"), "unsettled")
+    # Lists that still hold several components: first each set against some others of its lists, at random.
+    left = _unsettled(lists, known)
+    more = stage(_random_pairs(left), "hubs")
+    if not more.isEmpty():
+        links = links.unionByName(compared(more))
+        known = stage(components(links), "components")
+        left = _unsettled(left.select("element", "rep"), known)
+
+    # What is left is searched within, in cells of two blocks.
+    keys = ["element", "_b1", "_b2"]
     cells = cell_members(with_blocks(left, ["element"], "rep", BLOCK)).drop("_block")
-    found = search_cells(cells.join(maps, "rep"), ["element", "_b1", "_b2"], percent).distinct()
-    found = found.select(F.col("a").alias("hub"), F.col("b").alias("rep")).join(near, ["hub", "rep"], "left_anti")
-    known = stage(components(links.unionByName(compared(found))), "components")
+    marked = stage(search_cells(cells.join(maps, "rep"), keys, percent), "marked")
+    known = stage(components(links.unionByName(linked(marked, keys))), "components")
 
     rooted = sets.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "root", F.coalesce("root", "rep")
