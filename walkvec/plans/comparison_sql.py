@@ -199,12 +199,17 @@ _TOKENS = """
 
 
 def _pairs(window: int, tokens: str = "tokens") -> str:
+    """Both directions of every pair; positions have no gaps, so no join is needed."""
+    ahead = ", ".join(f"lead(token, {d}) OVER w AS t{d}" for d in range(1, window + 1))
+    both = [
+        f"SELECT seq_id, {c} AS center_pos, {o} AS context_pos, {x} AS center, {y} AS context FROM near WHERE t{d} IS NOT NULL"
+        for d in range(1, window + 1)
+        for c, o, x, y in (("pos", f"pos + {d}", "token", f"t{d}"), (f"pos + {d}", "pos", f"t{d}", "token"))
+    ]
     return f"""
-        SELECT a.seq_id, a.pos AS center_pos, b.pos AS context_pos,
-               a.token AS center, b.token AS context
-        FROM (SELECT t.*, step FROM {tokens} t, (
-                SELECT unnest(range(-{window}, {window} + 1)) AS step) WHERE step <> 0) a
-        JOIN {tokens} b ON a.seq_id = b.seq_id AND b.pos = a.pos + a.step"""
+        SELECT * FROM (WITH near AS MATERIALIZED (
+            SELECT seq_id, pos, token, {ahead} FROM {tokens} WINDOW w AS (PARTITION BY seq_id ORDER BY pos))
+        {" UNION ALL ".join(both)})"""
 
 
 _PAIR_KEY = "seq_id || '|' || center_pos || '|' || context_pos"
