@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walkvec.functions import scalar, sql_functions
-from walkvec.operators import embed, graph, interactions, segments, sequences, similar, train, tree_softmax, vocab, walks
+from walkvec.operators import (
+    embed,
+    graph,
+    interactions,
+    segments,
+    sequences,
+    set_join,
+    similar,
+    train,
+    tree_softmax,
+    vocab,
+    walks,
+)
 from walkvec.plans import audience, inputs
 from walkvec.sources import readers, writers
 from walkvec.stage import stage, stage_path
@@ -430,13 +442,32 @@ def nearest_to_key(spark, d):
     return rows.withColumn("distance", F.round("distance", 6))
 
 
+def _item_sets(spark, d):
+    return _cleaned(spark, d).select(F.col("member_id").alias("id"), F.col("item_id").alias("element"))
+
+
+SET_DISTANCE = 0.95  # a Jaccard similarity above 0.05
+SET_TABLES = 45  # at the threshold a pair is met with probability 1 - 0.95^45 = 90 %
+
+
 @query
 def similar_minhash(spark, d):
-    sets = _cleaned(spark, d).select(F.col("member_id").alias("id"), F.col("item_id").alias("element"))
-    rows = similar.similar_sets(stage(sets, "sets"), 0.95, tables=10)
+    rows = similar.similar_sets(stage(_item_sets(spark, d), "sets"), SET_DISTANCE, tables=SET_TABLES)
     return _pairs_out(rows)
 
 
+@query
+def overlapping_sets(spark, d):
+    """All pairs of different item sets below the distance, exactly; copies are in ``item_set_classes``."""
+    pairs, _ = set_join.overlapping_sets(_item_sets(spark, d), SET_DISTANCE)
+    return pairs.select("lo", "hi", "common", F.round("distance", 6).alias("distance"))
+
+
+@query
+def item_set_classes(spark, d):
+    return set_join.set_classes(stage(_item_sets(spark, d), "sets"))
+
+
 def _scored(spark, d):
     return similar.scored(_lsh(spark, d)).withColumn("score", F.round("score", 6))
 
@@ -659,11 +690,12 @@ def _table_name(spark, label):
 
 @query
 def member_base_partition(spark, d):
-    """Two dates of a base table; the second, with every other member, is read."""
+    """Two dates of a base table; the second, in which every age group is renamed, is read."""
     name = _table_name(spark, "member_base")
     base = inputs.member_base(spark, d)
+    renamed = base.withColumn("age_group", F.concat("age_group", F.lit(" later")))
     days = base.withColumn("statis_date", F.lit("20260101")).unionByName(
-        base.where(F.col("memb_id").cast("bigint") % 2 == 0).withColumn("statis_date", F.lit("20260102"))
+        renamed.withColumn("statis_date", F.lit("20260102"))
     )
     days.write.partitionBy("statis_date").format("parquet").saveAsTable(name)
     return readers.read_member_base(spark, name, "20260102")

@@ -513,7 +513,7 @@ def _similarity_statements() -> dict[str, str]:
             "functions": f"""
                 SELECT j, 1 + CAST(floor({coefficient.format('a')} * 2147483646) AS BIGINT) AS a,
                        CAST(floor({coefficient.format('b')} * 2147483647) AS BIGINT) AS b
-                FROM range(0, 10) r(j)""",
+                FROM range(0, 45) r(j)""",
             "minima": """
                 SELECT member_id, j,
                        min((('0x' || substr(md5(item_id), 1, 8))::BIGINT % 2147483647 * a + b)
@@ -529,6 +529,26 @@ def _similarity_statements() -> dict[str, str]:
                 JOIN cleaned q ON q.member_id = user2 AND q.item_id = p.item_id GROUP BY 1, 2""",
         },
     )
+    classes = {
+        "lists": "SELECT member_id, list(item_id ORDER BY item_id) AS items FROM cleaned GROUP BY 1",
+        "classes": """
+            SELECT member_id AS id, min(member_id) OVER (PARTITION BY items) AS rep, len(items) AS size
+            FROM lists""",
+    }
+    out["item_set_classes"] = _with("cleaned", "SELECT * FROM classes", classes)
+    out["overlapping_sets"] = _with(
+        "cleaned",
+        """SELECT lo, hi, common, round(1 - common / (a.size + b.size - common), 6) AS distance
+           FROM common JOIN classes a ON a.id = lo JOIN classes b ON b.id = hi
+           WHERE 1 - common / (a.size + b.size - common) < 0.95""",
+        classes
+        | {
+            "firsts": "SELECT id, item_id FROM classes JOIN cleaned ON member_id = id WHERE id = rep",
+            "common": """
+                SELECT p.id AS lo, q.id AS hi, count(*) AS common
+                FROM firsts p JOIN firsts q ON p.item_id = q.item_id AND p.id < q.id GROUP BY 1, 2""",
+        },
+    )
     return out
 
 
@@ -578,8 +598,8 @@ def _more_file_statements(so_far: dict[str, str]) -> dict[str, str]:
             SELECT CAST(c_custkey AS VARCHAR) AS memb_id,
                    CASE c_nationkey % 3 WHEN 0 THEN '124000000020' WHEN 1 THEN '124000000010'
                         ELSE 'unknown' END AS gender_cd,
-                   c_mktsegment AS age_group
-            FROM customer WHERE c_custkey % 2 = 0""",
+                   c_mktsegment || ' later' AS age_group
+            FROM customer""",
         "result_table_appended": f"""
             SELECT r.*, dt FROM ({result}) r,
                 (SELECT unnest(['20260101', '20260102', '20260102']) AS dt)""",
