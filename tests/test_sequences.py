@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -5,7 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from walkvec.operators import sequences
+from walkvec.operators import dense_index, sequences
+from walkvec.operators.dense_index import running_total
+from walkvec.stage import stage
 
 
 def _arrays(spark, *lists):
@@ -95,3 +98,87 @@ def test_center_side_features_are_attached(spark):
     pairs = spark.createDataFrame([(1, 2), (2, 1), (1, 3)], "center int, context int")
     side = spark.createDataFrame([(1, "x"), (2, "y")], "node int, gds_idx string")
     assert rows(sequences.attach_side(pairs, side)) == [(1, 2, "x"), (1, 3, "x"), (2, 1, "y")]
+
+
+def _staged(monkeypatch):
+    """Rows written by every stage of the steps, by label."""
+    written = {}
+
+    def counting(df, label="stage"):
+        out = stage(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    for module in (sequences, dense_index):
+        monkeypatch.setattr(module, "stage", counting)
+    return written
+
+
+def test_shuffle_writes_counts_not_examples(spark, monkeypatch):
+    written = _staged(monkeypatch)
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    got = {r.k: r.idx for r in sequences.shuffled(df, ["k"], 42).collect()}
+    order = sorted(range(20_000), key=lambda k: hashlib.md5(f"42|{k}".encode()).hexdigest())
+    assert got == {k: i for i, k in enumerate(order)}
+    assert sum(written.values()) <= sequences.SHUFFLE_BUCKETS
+
+
+def _side_case(spark):
+    """Tokens, items (two of node 1, none of node 5) and the pairs with items."""
+    rng = random.Random(3)
+    lists = [[rng.randrange(6) for _ in range(n)] for n in (30, 1, 7, 12)]
+    tokens = sequences.array_positions(_arrays(spark, *lists))
+    items = [(0, "a", 1), (1, "b", 2), (1, "c", 3), (2, "d", 4), (3, "e", 5), (4, "f", 6)]
+    side = spark.createDataFrame(items, "node int, item_key string, gds_idx long")
+    expected = [
+        (str(s), i, j, x[i], x[j], key, gds)
+        for s, x in enumerate(lists)
+        for i in range(len(x))
+        for j in range(max(0, i - 2), min(len(x), i + 3))
+        for node, key, gds in items
+        if i != j and node == x[i]
+    ]
+    return tokens, side, expected
+
+
+def test_side_features_meet_positions_before_pairs(spark):
+    tokens, side, expected = _side_case(spark)
+    got = sequences.pairs_with_side(tokens, side, 2)
+    assert got.columns == ["seq_id", "center_pos", "context_pos", "center", "context", "item_key", "gds_idx"]
+    assert rows(got) == sorted(expected)
+    bare = rows(sequences.context_pairs(sequences.context_rows(tokens, 2)).drop("place"))
+    assert bare == rows(sequences.skipgram_pairs(tokens, 2))
+
+
+@pytest.mark.parametrize("seed", [None, 42])
+def test_training_batches_write_no_pairs(spark, monkeypatch, seed):
+    tokens, side, expected = _side_case(spark)
+    written = _staged(monkeypatch)
+    got = sequences.training_batches(tokens, side, 2, 7, epochs=2, seed=seed).collect()
+
+    def place(e):
+        key = f"{e[0]}|{e[1]}|{e[2]}"
+        return (hashlib.md5(f"42|{key}".encode()).hexdigest(), *e) if seed else e
+
+    ordered = sorted(expected, key=place)
+    n = len(ordered)
+    full = 2 * n // 7
+    want = [
+        (*e, i, epoch, (epoch * n + i) // 7)
+        for epoch in range(2)
+        for i, e in enumerate(ordered)
+        if (epoch * n + i) // 7 < full
+    ]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    # Before, every pair was written with the features of its center.
+    assert max(v for k, v in written.items() if k != "buckets") <= tokens.count()
+
+
+def test_running_total_over_partitions(spark):
+    df = spark.createDataFrame([(i * 7 % 50, i % 4) for i in range(50)], "k int, n long").repartition(5)
+    got = rows(running_total(df, ["k"], "n", "start"))
+    total, want = 0, []
+    for k, n in rows(df):
+        want.append((k, n, total))
+        total += n
+    assert got == want
