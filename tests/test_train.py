@@ -125,3 +125,41 @@ def test_hot_parameter_rows(spark, monkeypatch):
     monkeypatch.setattr(train, "lookup", lambda *a, **k: skew.lookup(*a, hot_rows=5, **k))
     hot = sorted(map(tuple, train._shard_rows(examples, params).select("for_shard", "pid").collect()))
     assert plain == hot and len(hot) == 160
+
+
+def test_a_round_over_cells_equals_the_plain_form(spark):
+    """Also with a token that is no item, one that is two, and one without a rank."""
+    data = [(s, p, [3, 1, 4, 1, 5, 9, 2, 6][(p + s) % 8]) for s in range(6) for p in range(7)] + [(9, 0, None), (9, 1, 3), (9, 2, 4)]
+    tokens = spark.createDataFrame(data, "seq_id bigint, pos bigint, token bigint")
+    ranks = sequences.token_ranks(tokens.where("token <> 9")).persist()
+    items = [(1, [0, 2, 8 + 16]), (2, [16, 2, 18, 8 + 32]), (3, [0, 18]), (4, [32, 8 + 64]), (4, [48, 2]), (5, [0, 2, 2])]
+    references = spark.createDataFrame(items, "center bigint, refs array<bigint>")
+    t = train.Training(size=3, negatives=2, rounds=2, batch=2, examples_per_shard=10, items_per_shard=2)
+    params = train.initial_parameters(references, ranks, t)
+    examples = train.sequence_examples(tokens, references, ranks, 2, t)
+    uid = F.concat_ws("|", "seq_id", "center_pos", "context_pos").alias("uid")
+    pairs = sequences.skipgram_pairs(tokens, 2).select(uid, "center", "context")
+    of_pairs = train.prepare_examples(pairs, references, ranks, t)
+    count = pairs.where("context <> 9 AND center NOT IN (6, 9)").count() + pairs.where("context <> 9 AND center = 4").count()
+    assert examples.count() == of_pairs.count() == count
+
+    outs = F.concat(F.array("context"), F.transform(F.sequence(F.lit(1), F.lit(2)), lambda j: sequences.log_uniform_rank(
+        train.uniform(t.seed, "neg", F.col("epoch"), F.col("uid"), j), F.lit(ranks.count()))))
+    rows = pd.DataFrame({"pid": [], "vec": []})
+    for epoch in (0, -1):
+        drawn = examples.rows.withColumn("epoch", F.lit(str(epoch)))
+        drawn = drawn.where(train.round_of(t, 0) == 0) if epoch == 0 else drawn
+        drawn = drawn.join(examples.items, "item").select("uid", "refs", F.transform(outs, lambda r: train.pid("context", r)).alias("outs"))
+        rows = params.toPandas()
+        shard = train._Shard(drawn.toPandas().assign(vocab=ranks.count()), rows, t)
+        loss = shard.step(0, len(shard), learn=True)
+        if epoch == 0:
+            rate = np.minimum(t.learning_rate, t.most_step / np.maximum(shard.uses, 1))
+            want = dict(zip(shard.pids, shard.vec - rate[:, None] * shard.gradient))
+            for some in (examples, of_pairs):
+                got = train.first_round(some, ranks, params, t).collect()
+                assert len(got) == len(want)
+                assert all(np.allclose(r.vec, want[r.pid][: len(r.vec)], atol=1e-12) for r in got)
+        else:
+            row = train.evaluate(examples, ranks, params, t).first()
+            assert row.examples == count and row.mean_loss == pytest.approx(loss / count)
