@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import bag, blank_words, documents, lower, pairs, prose
 
-from walkvec.llm import shingle_join
+from walkvec.llm import common, shingle_join
 from walkvec.llm.shingle_join import forest, near_duplicates, one_of_each, shared_by
+from walkvec.stage import stage
 
 
 def shingles(text):
@@ -113,3 +115,26 @@ def test_one_of_each_group_stays(spark):
 def test_empty_table(spark):
     docs = documents(spark).limit(0)
     assert near_duplicates(docs).count() == 0 and one_of_each(docs).count() == 0
+
+
+def test_python_steps_take_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+
+    def recorded(df, label="stage"):
+        seen.append(int(spark.conf.get(key)))
+        return stage(df, label)
+
+    monkeypatch.setattr(shingle_join, "stage", recorded)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in shingle_join.one_of_each(docs).collect()) == [1, 3]
+    # Before, a batch had 10,000 whole texts or sets, on both sides of each task's pipe.
+    assert sum(n == common.BATCH_ROWS for n in seen) >= len(seen) - 1
+    assert spark.conf.get(key) == before
+
+
+def test_batches_in_pieces():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array([[i] * i for i in range(7)])], names=["n", "l"])
+    parts = list(common.pieces(iter([batch, batch.slice(0, 0), batch.slice(2, 4)]), 3))
+    assert [p.num_rows for p in parts] == [3, 3, 1, 3, 1]
+    assert [n for p in parts for n in p.column("n").to_pylist()] == [*range(7), *range(2, 6)]

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walkvec.llm.common import pieces
 from walkvec.llm.quality_rules import measured
 from walkvec.llm.textnum import BLANKS, Chunk, chunks, words
 from walkvec.stage import stage
@@ -112,7 +113,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "features array<float>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             x = text_statistics(batch.column(batch.schema.get_field_index(text)))
             own = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             ends = np.arange(0, x.size + 1, len(FEATURES), dtype=np.int32)
@@ -266,7 +267,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             good = predict(model, text_statistics(batch.column(batch.schema.get_field_index("text")))) >= THRESHOLD
             yield batch.filter(pa.array(good))
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walkvec.llm.common import components, free_prefix
+from walkvec.llm.common import components, free_prefix, pieces, small_batches
 from walkvec.llm.textnum import U, chunks, finish, shingle_sets
 from walkvec.operators.cells import cell_members, with_blocks
 from walkvec.stage import stage
@@ -94,7 +94,7 @@ def shingled(
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             own = [batch.column(i) for i in range(len(kept))]
             for chunk in chunks(batch.column(len(kept))):
                 h, first = shingle_sets(chunk, shingle)
@@ -155,7 +155,7 @@ def _extensions(docs: DataFrame, ids: DataFrame, frequent: pa.Table, shingle: in
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             for chunk in chunks(batch.column(1)):
                 h, first = shingle_sets(chunk, shingle)
                 n = np.diff(first)
@@ -190,7 +190,7 @@ def _subsets(light: DataFrame, percent: int) -> DataFrame:
     """(element, rep): a hash for every subset that a light set lists, marked by the partner's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keys, reps = [], []
             for rep, elements in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 mixed = finish(np.array(elements, np.int64).view(U) ^ _SECOND)
@@ -380,7 +380,7 @@ def search_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[*keys, "rep", "root"])
 
         types: list[pa.DataType] = []
-        for batch in batches:
+        for batch in pieces(batches):
             types = types or [c.type for c in batch.columns[: count + 2]]
             columns = [c.to_pylist() for c in batch.columns]
             for mark, row in zip(zip(*columns[:count]), zip(*columns[count:])):
@@ -411,7 +411,7 @@ def near_enough(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(own, "rep").join(other, "hub").select("hub", "rep", "n1", "m1", "n2", "m2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for _, _, n1, m1, n2, m2 in zip(*(c.to_pylist() for c in batch.columns)):
                 a, b = np.frombuffer(m1, U), np.frombuffer(m2, U)
@@ -440,7 +440,7 @@ def compare_cells(cells: DataFrame, keys: list[str], percent: int) -> DataFrame:
             if len(reps) > 1:
                 links.extend(forest(np.array(reps), sets, percent, np.array(roots)))
 
-        for batch in batches:
+        for batch in pieces(batches):
             marks = list(zip(*(batch.column(i).to_pylist() for i in range(count))))
             ids, own = batch.column(count).to_pylist(), batch.column(count + 1).to_pylist()
             column = batch.column(count + 2)
@@ -508,6 +508,11 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
 
     ``root`` names the component of a set, ``component_id`` is its least doc_id.
     """
+    with small_batches(docs.sparkSession):  # every step with Python ends in here
+        return _similar_groups(docs, shingle, percent)
+
+
+def _similar_groups(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select("doc_id", "text")
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.md5("text").alias("text_key"), "text"
