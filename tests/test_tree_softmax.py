@@ -88,6 +88,29 @@ def test_gradient():
             assert gradient[at] == pytest.approx((loss[0] - loss[1]) / 2e-6, abs=1e-6)
 
 
+@pytest.mark.parametrize("n", [1, 10, 37, 100])
+def test_step_of_small_products(n):
+    """The step that fetches each row once moves the rows as the plain gradients do, also for repeated centres and contexts."""
+    rng = np.random.default_rng(n)
+    tree = huffman_tree(list(Counter([9, 5, 5, 2, 1, 1, 1, 40, 300]).items()))
+    nodes, bits, length = tree.paths(rng.integers(0, 9, n))
+    centre, nodes = rng.integers(0, 4, n), np.where(nodes >= 0, nodes + 4, 0)
+    got = rng.normal(size=(4 + 8, 3))
+    want = got.copy()
+    on = np.arange(nodes.shape[1]) < length[:, None]
+    _, to_centre, to_nodes = step_gradients(want[centre], want[nodes], bits, on)
+    np.add.at(want, centre, -0.1 * to_centre)
+    np.add.at(want, nodes[on], -0.1 * to_nodes[on])
+    tree_softmax.true_step(got, centre, nodes, bits, length, 0.1)
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_step_without_nodes():
+    vec = np.ones((2, 3))
+    tree_softmax.true_step(vec, np.array([0, 1]), np.zeros((2, 0), int), np.zeros((2, 0), int), np.zeros(2, int), 0.1)
+    assert (vec == 1).all()
+
+
 def test_probabilities_of_a_tree_sum_to_one():
     rng = np.random.default_rng(2)
     tree = huffman_tree(list(Counter([9, 5, 5, 2, 1, 1, 1]).items()))
