@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -163,3 +164,45 @@ def test_a_round_over_cells_equals_the_plain_form(spark):
         else:
             row = train.evaluate(examples, ranks, params, t).first()
             assert row.examples == count and row.mean_loss == pytest.approx(loss / count)
+
+
+def test_starting_values_equal_the_expressions(spark):
+    references = spark.createDataFrame([(1, [0, 18, 8]), (2, [16, 8])], "center bigint, refs array<bigint>")
+    ranks = spark.createDataFrame([("a", 5, 0), ("b", 2, 1)], "token string, n bigint, rank bigint")
+    t = train.Training(size=12)
+    code, row, context = F.col("pid") % 16, F.floor(F.col("pid") / 16), F.lit("context")
+
+    def uniforms(size):
+        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: train.uniform(t.seed, code, row, i) * 2.0 - 1.0)
+
+    def normal(i):
+        u, turn = (train.uniform(t.seed, context, F.col("rank"), i, end) for end in "ab")
+        z = F.sqrt(F.log(1.0 - u) * -2.0) * F.cos(turn * (2.0 * np.pi))
+        return F.greatest(F.least(z, F.lit(2.0)), F.lit(-2.0)) * (1.0 / np.sqrt(t.size))
+
+    used = references.select(F.explode("refs").alias("pid")).distinct()
+    want = {r.pid: r.vec for r in used.select("pid", F.when(code == 8, uniforms(len(train.SLOTS))).otherwise(uniforms(12)).alias("vec")).collect()}
+    drawn = ranks.select("rank", F.transform(F.sequence(F.lit(0), F.lit(11)), normal).alias("vec")).collect()
+    want |= {r.rank * 16 + 9: [*r.vec, 0.0] for r in drawn}
+    assert {r.pid: r.vec for r in train.initial_parameters(references, ranks, t).collect()} == want
+
+
+def test_only_the_given_and_the_last_parameters_stay(spark):
+    """Tables of a round go with it, so that the disk holds two sets of parameters however many rounds there are."""
+    tokens = spark.createDataFrame([(s, p, (s + p) % 5) for s in range(4) for p in range(6)], "seq_id bigint, pos bigint, token bigint")
+    ranks = sequences.token_ranks(tokens).persist()
+    t = train.Training(size=3, negatives=2, epochs=2, rounds=2)
+    references = train.node_references(ranks)
+    params = train.initial_parameters(references, ranks, t)
+    examples = train.sequence_examples(tokens, references, ranks, 2, t)
+    root = Path(params.inputFiles()[0].removeprefix("file:")).parent.parent
+    before = {p.name for p in root.iterdir()}
+    trained = train.train(examples, ranks, params, t)
+    assert [p.rsplit("-")[0] for p in {p.name for p in root.iterdir()} - before] == ["parameters"]
+    assert trained.count() == params.count() > 0
+
+
+def test_cells_for_all_tasks():
+    t = train.Training()
+    assert [train._blocks(n, t) for n in (0, 10, 1_000_001)] == [1, 1, 2]
+    assert [train._blocks(n, t, 6) for n in (0, 10, 100_000, 1_110_000, 400_000_000)] == [1, 1, 2, 4, 20]
