@@ -182,3 +182,11 @@ def test_running_total_over_partitions(spark):
         want.append((k, n, total))
         total += n
     assert got == want
+
+
+def test_the_shuffle_of_examples_carries_no_bucket(spark):
+    pairs = spark.createDataFrame([(s, i, i + 1) for s in range(3) for i in range(5)], "seq_id bigint, center_pos bigint, context_pos bigint")
+    numbered = sequences.shuffled(pairs, ["seq_id", "center_pos", "context_pos"], 1)
+    below = numbered._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
+    assert "AS _bucket" not in below.split("_start")[0]
+    assert sorted(r.idx for r in numbered.collect()) == list(range(15))
